@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from .chat import op10_chat_windows
+from .licenses import op9_license_signatures
+from .packing import op3_bounded_space_packing
 from .sharding import op2_hypergeometric_sharding
 
-QUERIES = {f.__name__: f for f in (op2_hypergeometric_sharding, op10_chat_windows)}
+QUERIES = {
+    f.__name__: f
+    for f in (op2_hypergeometric_sharding, op3_bounded_space_packing, op9_license_signatures, op10_chat_windows)
+}
 ORACLES: dict[str, str] = {}

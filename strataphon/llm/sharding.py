@@ -31,10 +31,11 @@ from pyspark.sql import types as T
 
 from .common import Scratch
 
-
 SHARDS = 24
 #: Rows that one block takes at most: the second permutation sorts one block at a time.
-BLOCK_ROWS = 1 << 20
+BLOCK_ROWS = 1 << 15
+#: Cells of the matrix at most; beyond, blocks grow.
+MATRIX_CELLS = 1 << 24
 
 
 def block_sizes(n_rows: int, n_shards: int, block_rows: int = BLOCK_ROWS) -> list[tuple[int, int, int]]:
@@ -57,16 +58,8 @@ def communication_matrix(row_sums: list[int], column_sums: list[int], seed: int)
     left = np.asarray(column_sums, dtype=np.int64)
     out = np.zeros((len(row_sums), len(left)), dtype=np.int64)
     for i, total in enumerate(row_sums):
-        draw, rest, pool = np.zeros_like(left), int(total), int(left.sum())
-        for j, size in enumerate(left):  # conditional hypergeometric draws, column by column
-            size = int(size)
-            if not rest:
-                break
-            pool -= size
-            draw[j] = rest if not pool else int(rng.hypergeometric(size, pool, rest)) if size else 0
-            rest -= int(draw[j])
-        out[i] = draw
-        left = left - draw
+        out[i] = rng.multivariate_hypergeometric(left, int(total), method="marginals")
+        left = left - out[i]
     return out
 
 
@@ -92,7 +85,9 @@ def shuffle_into_shards(
     counted = df.withColumn(part, F.spark_partition_id())
     sizes = {r[0]: r[1] for r in counted.groupBy(part).agg(F.count(F.lit(1))).collect()}  # a row a partition
     ids = sorted(sizes)
-    blocks = block_sizes(sum(sizes.values()), n_shards, block_rows)
+    total = sum(sizes.values())
+    block_rows = max(block_rows, total * len(ids) // MATRIX_CELLS)
+    blocks = block_sizes(total, n_shards, block_rows)
     matrix = communication_matrix([sizes[p] for p in ids], [b[2] for b in blocks], seed)
     dealt = spark.sparkContext.broadcast({p: matrix[i] for i, p in enumerate(ids)})
     block = part + "_block"

@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from .chat import op10_chat_windows
+from .embedding_dedup import op6_embedding_near_dedup
 from .licenses import op9_license_signatures
+from .neighbours import op7_block_matrix_neighbours
 from .packing import op3_bounded_space_packing
 from .sharding import op2_hypergeometric_sharding
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_hypergeometric_sharding, op3_bounded_space_packing, op9_license_signatures, op10_chat_windows)
+    for f in (
+        op2_hypergeometric_sharding,
+        op3_bounded_space_packing,
+        op6_embedding_near_dedup,
+        op7_block_matrix_neighbours,
+        op9_license_signatures,
+        op10_chat_windows,
+    )
 }
 ORACLES: dict[str, str] = {}

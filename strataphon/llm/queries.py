@@ -8,12 +8,14 @@ from .licenses import op9_license_signatures
 from .neighbours import op7_block_matrix_neighbours
 from .packing import op3_bounded_space_packing
 from .sharding import op2_hypergeometric_sharding
+from .toxicity import op4_string_kernel_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         op2_hypergeometric_sharding,
         op3_bounded_space_packing,
+        op4_string_kernel_toxicity,
         op6_embedding_near_dedup,
         op7_block_matrix_neighbours,
         op9_license_signatures,

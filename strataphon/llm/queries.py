@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import op10_chat_windows
 from .embedding_dedup import op6_embedding_near_dedup
+from .jaccard_join import op1_ngram_jaccard_join
 from .licenses import op9_license_signatures
 from .neighbours import op7_block_matrix_neighbours
 from .packing import op3_bounded_space_packing
@@ -13,6 +14,7 @@ from .toxicity import op4_string_kernel_toxicity
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_ngram_jaccard_join,
         op2_hypergeometric_sharding,
         op3_bounded_space_packing,
         op4_string_kernel_toxicity,

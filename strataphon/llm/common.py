@@ -57,9 +57,15 @@ class Scratch:
             at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit ``limit``; else as it is, and the join shuffles."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+def bounded_broadcast(
+    df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, more_bytes: str | None = None
+) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size fits ``limit``; else as it is, and the join shuffles.
+
+    The size is ``row_bytes`` a row, and ``more_bytes``, an SQL expression over a row, summed.
+    """
+    rows, more = df.agg(F.count(F.lit(1)), F.sum(F.expr(more_bytes)) if more_bytes else F.lit(0)).first()
+    return F.broadcast(df) if rows * row_bytes + (more or 0) <= limit else df
 
 
 def arrow_map(

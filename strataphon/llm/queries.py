@@ -9,6 +9,7 @@ from .licenses import op9_license_signatures
 from .neighbours import op7_block_matrix_neighbours
 from .packing import op3_bounded_space_packing
 from .sharding import op2_hypergeometric_sharding
+from .suffix_dedup import op8_radix_suffix_dedup
 from .toxicity import op4_string_kernel_toxicity
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
         op4_string_kernel_toxicity,
         op6_embedding_near_dedup,
         op7_block_matrix_neighbours,
+        op8_radix_suffix_dedup,
         op9_license_signatures,
         op10_chat_windows,
     )

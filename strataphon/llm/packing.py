@@ -30,7 +30,8 @@ SEQUENCE = 4096
 END_ID = 2
 OPEN_WINDOWS = 64
 MERGE_WINDOWS = 1024
-CACHE_CHUNKS, CACHE_BYTES = 400_000, 64
+CACHE_CHUNKS, CACHE_BYTES = 500_000, 64
+GROUP_TEXTS, GROUP_BYTES = 256, 1 << 21
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "ids binary, open boolean"
@@ -41,28 +42,66 @@ _FIELDS = pa.schema(
 )
 
 
-class ChunkIds(dict):
-    """Chunk of UTF-8 bytes -> its ids as little-endian unsigned 32-bit bytes."""
+class ChunkIds:
+    """Ids of texts as little-endian unsigned 32-bit bytes, by chunks between ASCII white space.
+
+    A-Z are lower-cased first, as the vocabulary does, unless a special token could be meant. Closing
+    punctuation after a letter or digit never joins its word, so it is looked up on its own. Chunks that are
+    new in a group of texts are encoded together. Two generations of at most ``CACHE_CHUNKS`` entries keep
+    what is frequent and forget the rest.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids
-        found = np.asarray(ids, dtype="<u4").tobytes()
-        if len(chunk) <= CACHE_BYTES:
-            self[chunk] = found
-        return found
-
-    def text(self, text: str) -> bytes:
-        if len(self) > CACHE_CHUNKS:
-            self.clear()
-        return b"".join(map(self.__getitem__, text.encode("utf-8").split()))
-
-
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def encode(self, chunks: list[bytes]) -> list[bytes]:
+        made = self.tokenizer.encode_batch([c.decode("utf-8") for c in chunks], add_special_tokens=False)
+        return [np.asarray(m.ids, dtype="<u4").tobytes() for m in made]
+
+    def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of every chunk; long ones are not kept."""
+        if len(self.young) > CACHE_CHUNKS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for c in chunks - young.keys():
+            if c in old:
+                young[c] = old[c]
+            else:
+                new.append(c)
+        if not new:
+            return young
+        cores = {}
+        for c in new:
+            core = c.rstrip(_CLOSING)
+            cut = core and core != c and b"<|" not in c and (core[-1:].isalnum() or core.decode("utf-8")[-1].lower().isalpha())
+            cores[c] = core if cut else c
+        parts = {x for c, core in cores.items() for x in ((core, c[len(core) :]) if core != c else (c,))}
+        known = {x: young.get(x) or old.get(x) for x in parts}
+        missing = sorted(x for x, ids in known.items() if ids is None)
+        known.update(zip(missing, self.encode(missing)))
+        out = {c: known[core] if core == c else known[core] + known[c[len(core) :]] for c, core in cores.items()}
+        long = {c: ids for c, ids in out.items() if len(c) > CACHE_BYTES}
+        young.update((c, ids) for c, ids in known.items() if len(c) <= CACHE_BYTES)
+        young.update((c, ids) for c, ids in out.items() if len(c) <= CACHE_BYTES)
+        return young if not long else {**young, **long}
+
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        split = []
+        for t in texts:
+            raw = (t or "").encode("utf-8")
+            split.append((raw if b"<|" in raw else raw.lower()).split())
+        ids = self.learn(set().union(*split))
+        return [b"".join(map(ids.__getitem__, chunks)) for chunks in split]
+
+
+#: Punctuation that ends a chunk in ordinary prose; none of it starts a contraction.
+_CLOSING = b".,;:!?"
 _CACHES: dict[str, ChunkIds] = {}
 
 
@@ -73,6 +112,19 @@ def chunk_ids(path: str) -> ChunkIds:
     return _CACHES[path]
 
 
+def grouped(cache: ChunkIds, texts: pa.Array):
+    """The ids of each text, encoded in groups of bounded number and size."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text.as_py())
+        size += len(group[-1] or "")
+        if len(group) >= GROUP_TEXTS or size >= GROUP_BYTES:
+            yield from cache.texts(group)
+            group, size = [], 0
+    if group:
+        yield from cache.texts(group)
+
+
 class Packer:
     """Windows of ``size`` ids, at most ``windows`` of them open."""
 
@@ -151,8 +203,8 @@ def pack(
         cache, packer = chunk_ids(tokenizer), Packer(size, open_windows, _first_id(0))
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = cache.text(text.as_py() or "") + end
+            for doc_id, raw in zip(batch.column(0).to_pylist(), grouped(cache, batch.column(1))):
+                raw += end
                 total = len(raw) // 4
                 for start in range(0, total, size):
                     ids = raw[4 * start : 4 * (start + size)]

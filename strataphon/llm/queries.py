@@ -6,6 +6,7 @@ from .chat import op10_chat_windows
 from .embedding_dedup import op6_embedding_near_dedup
 from .jaccard_join import op1_ngram_jaccard_join
 from .licenses import op9_license_signatures
+from .mixing import op5_soft_membership_mixing
 from .neighbours import op7_block_matrix_neighbours
 from .packing import op3_bounded_space_packing
 from .sharding import op2_hypergeometric_sharding
@@ -19,6 +20,7 @@ QUERIES = {
         op2_hypergeometric_sharding,
         op3_bounded_space_packing,
         op4_string_kernel_toxicity,
+        op5_soft_membership_mixing,
         op6_embedding_near_dedup,
         op7_block_matrix_neighbours,
         op8_radix_suffix_dedup,

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import admission, documents, extension, harmonicity, series, spectral, state, tagging, telemetry  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -64,8 +64,8 @@ def migrate_harmonicity(value: Column, nap: Column, db: Column) -> Column:
 
 
 def bark(hz: Column) -> Column:
-    """Critical band rate, within [0, 24]."""
-    z = 13.0 * F.atan(0.00076 * hz) + 3.5 * F.atan(F.pow(hz / 7500.0, F.lit(2.0)))
+    """Critical band rate by Traunmüller's formula, within [0, 24]."""
+    z = 26.81 / (1.0 + 1960.0 / (hz + 1e-6)) - 0.53
     return F.greatest(F.lit(0.0), F.least(F.lit(24.0), z))
 
 

@@ -11,7 +11,7 @@ from .registry import query
 #: size in bytes, first and last sample of a task; every third line has no range.
 _TASKS = """t AS (SELECT l_orderkey, l_linenumber, (l_extendedprice * 1000)::BIGINT AS size,
   CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_partkey * 100 END AS a, CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_partkey * 100 + (l_quantity * 441000)::BIGINT END AS b, l_quantity AS qty, l_discount AS disc
-  FROM lineitem WHERE l_orderkey % 10 = 0)"""
+  FROM lineitem)"""
 _PCM = "CASE WHEN a >= 0 AND b > a THEN (b - a) * 8 ELSE greatest(1048576, trunc(size * 3.5::DOUBLE)::BIGINT) END"
 _RAM = f"(trunc(({_PCM}) * 7 * 1.8::DOUBLE)::BIGINT + 1073741824)"
 
@@ -20,7 +20,7 @@ def _tasks(spark, d):
     third = F.col("l_linenumber") % 3 == 0
     start = F.when(third, F.lit(0).cast("long")).otherwise(F.col("l_partkey") * 100)
     length = F.when(third, F.lit(0).cast("long")).otherwise(F.round(F.col("l_quantity") * 441000).cast("long"))
-    return table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select(
+    return table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * 1000).cast("long").alias("size"), start.alias("a"), (start + length).alias("b"),
         "l_quantity", "l_discount",
     )

@@ -92,13 +92,13 @@ SELECT vec_id, round(list_avg(list_transform(embedding[1:9], lambda x: x::DOUBLE
   round(list_avg(list_transform(embedding[37:45], lambda x: x::DOUBLE * x::DOUBLE)), 4) AS piano,
   round(list_avg(list_transform(embedding[46:54], lambda x: x::DOUBLE * x::DOUBLE)), 4) AS guitar,
   round(list_avg(list_transform(embedding[55:63], lambda x: x::DOUBLE * x::DOUBLE)), 4) AS vocals
-FROM embeddings ORDER BY vec_id LIMIT 100
+FROM embeddings
 """)
 def q_stem_energy(spark, d):
     """Energy of seven segments as columns."""
     e = A.doubles(F.col("embedding"))
     columns = [F.round(A.energy(F.slice(e, 9 * k + 1, 9)), 4).alias(s) for k, s in enumerate(STEMS)]
-    return table(spark, d, "embeddings").orderBy("vec_id").limit(100).select("vec_id", *columns)
+    return table(spark, d, "embeddings").select("vec_id", *columns)
 
 
 @query("""

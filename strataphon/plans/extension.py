@@ -26,11 +26,11 @@ def q_ext_sessions(spark, d):
     return rows.groupBy("user_id", "session").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT p.event_id, coalesce(v.event_id, -1) AS view_id FROM (SELECT * FROM events WHERE event_id % 10 = 0) p ASOF LEFT JOIN (SELECT * FROM events WHERE event_id % 10 = 1) v
+@query("""SELECT p.event_id, coalesce(v.event_id, -1) AS view_id FROM (SELECT * FROM events WHERE event_type = 'click') p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v
  ON p.user_id = v.user_id AND p.ts >= v.ts""")
 def q_ext_asof(spark, d):
     """Latest earlier row of the other kind: one union, one window, no range join."""
-    rows = table(spark, d, "events").where("event_id % 10 in (0, 1)").select("event_id", "user_id", "ts", (F.col("event_id") % 10 == 1).alias("right"))
+    rows = table(spark, d, "events").where("event_type in ('click', 'view')").select("event_id", "user_id", "ts", (F.col("event_type") == "view").alias("right"))
     w = Window.partitionBy("user_id").orderBy("ts", F.desc("right"), "event_id").rowsBetween(Window.unboundedPreceding, 0)
     seen = F.last(F.when(F.col("right"), F.col("event_id")), ignorenulls=True).over(w)
     return rows.withColumn("view_id", seen).where(~F.col("right")).select("event_id", F.coalesce("view_id", F.lit(-1).cast("long")).alias("view_id"))

@@ -8,18 +8,18 @@ from ..functions import music
 from ..session import table
 from .registry import query
 
-_LINES = "FROM lineitem WHERE l_orderkey % 10 = 0"
+_LINES = "FROM lineitem"
 
 
 def _nap(spark, d):
     # Discounts times ten less a half reach beyond both ends of [0, 1].
     nap = F.col("l_discount") * 15 - 0.25
-    return table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", nap.alias("nap"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", nap.alias("nap"))
 
 
 def _db(spark, d):
     db = F.col("l_quantity") * 16 - 400
-    return table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", db.alias("db"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", db.alias("db"))
 
 
 def _hnr(variant):
@@ -81,7 +81,7 @@ def q_hnr_migration(spark, d):
     line = F.col("l_linenumber")
     value = F.when(line % 2 == 0, F.col("l_tax") * 10).otherwise(F.col("l_quantity") - 60)
     nap, db = F.when(line % 3 == 0, F.lit(0.5)), F.when(line % 3 == 0, F.lit(0.0))
-    out = table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select(
+    out = table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", music.migrate_harmonicity(value, nap, db).alias("m")
     )
     return out.select("l_orderkey", "l_linenumber", F.round("m.nap", 6).alias("nap"), F.round("m.hnr_db", 4).alias("hnr_db"))

@@ -203,7 +203,7 @@ def q_onset_autocorr(spark, d):
     return rows.select("vec_id", F.posexplode(F.transform("r", lambda x: F.round(x / F.array_max("r"), 5))).alias("lag", "ac"))
 
 
-@query("""SELECT p_partkey, round(greatest(0, least(24, 13 * atan(0.00076::DOUBLE * (p_retailprice * 10)) + 3.5 * atan(pow(p_retailprice * 10 / 7500.0::DOUBLE, 2)))), 5) AS bark FROM part""")
+@query("""SELECT p_partkey, round(greatest(0, least(24, 26.81::DOUBLE / (1 + 1960.0::DOUBLE / (p_retailprice * 10 + 1e-6::DOUBLE)) - 0.53)), 5) AS bark FROM part""")
 def q_bark(spark, d):
     """Critical band rate of a frequency."""
     return table(spark, d, "part").select("p_partkey", F.round(music.bark(F.col("p_retailprice") * 10), 5).alias("bark"))

@@ -1 +1,49 @@
-"""Spectral operators that need numpy; registered once ``functions.dsp`` is in place."""
+"""Spectral operators that need numpy: SQL can't express them, tests hold them against analytic signals."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import features
+from ..session import table
+from .registry import query
+
+_FAMILIES = list(features.REGISTRY)
+
+
+def _tracks(spark, d):
+    """Each embedding repeated to a second of sound at 8 kHz."""
+    y = F.flatten(F.array_repeat("embedding", 125))
+    return table(spark, d, "embeddings").select("vec_id", F.lit("vocals").alias("stem"), F.lit(8000).alias("sr"), y.cast("array<float>").alias("y"))
+
+
+def _family(name):
+    def run(spark, d):
+        only = {f: f == name for f in _FAMILIES}
+        out = features.extract(_tracks(spark, d), only)
+        scalars = F.transform_values("scalars", lambda _, v: F.round(v, 6))
+        return out.select("vec_id", F.to_json(scalars).alias("scalars"), F.size("sequences").alias("n_sequences"))
+
+    run.__name__ = f"q_features_{name}"
+    run.__doc__ = f"The feature family {name}."
+    return run
+
+
+for _name in _FAMILIES:
+    query()(_family(_name))
+
+
+@query()
+def q_separate(spark, d):
+    """Stems of each track and their energies."""
+    rows = features.separate(_tracks(spark, d).select("vec_id", "sr", "y"))
+    energy = F.aggregate("y", F.lit(0.0), lambda a, x: a + x * x)
+    return rows.select("vec_id", "stem", F.round(energy, 4).alias("energy"))
+
+
+@query()
+def q_classify(spark, d):
+    """Class probabilities of a stand-in ensemble."""
+    classes = {"gender": ["male", "female"], "danceability": ["danceable", "not_danceable"]}
+    rows = features.classify(_tracks(spark, d).select("vec_id", "sr", "y"), classes)
+    return rows.select("vec_id", F.explode("predictions").alias("class", "p"))

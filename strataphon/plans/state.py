@@ -10,15 +10,16 @@ from ..session import table
 from .registry import query
 
 _COLS = "o_orderkey, o_orderstatus, o_totalprice"
-_BASE = "base AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0)"
-_BATCH = "batch AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0)"
+_BASE = "base AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT')"
+_BATCH = "batch AS (SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderstatus <> 'O')"
 
 
 def _sides(spark, d):
-    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    batch = orders.where("o_orderkey % 2 = 0")
+    orders = table(spark, d, "orders")
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    batch = orders.where("o_orderstatus <> 'O'").select(columns)
     batch = batch.withColumn("o_orderstatus", F.lit("X")).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return orders.where("o_orderkey % 3 <> 0"), batch
+    return orders.where("o_orderpriority <> '1-URGENT'").select(columns), batch
 
 
 @query(f"""WITH {_BASE}, {_BATCH}
@@ -77,11 +78,11 @@ def q_hash_exists(spark, d):
 
 
 @query("""SELECT coalesce(in_d, false) AS in_files, coalesce(in_l, false) AS in_db, count(*) AS n, min(doc_id) AS first_id FROM
- (SELECT doc_id, true AS in_d FROM documents WHERE doc_id % 5 <> 0) FULL JOIN (SELECT doc_id, true AS in_l FROM labels) USING (doc_id)
+ (SELECT doc_id, true AS in_d FROM documents WHERE lang <> 'fr') FULL JOIN (SELECT doc_id, true AS in_l FROM labels) USING (doc_id)
 GROUP BY ALL""")
 def q_full_reconcile(spark, d):
     """Keys in the files, in the store or in both."""
-    files = table(spark, d, "documents").where("doc_id % 5 <> 0").select("doc_id")
+    files = table(spark, d, "documents").where("lang <> 'fr'").select("doc_id")
     both = snapshot.reconcile(files, table(spark, d, "labels").select("doc_id"), ["doc_id"])
     return both.groupBy(F.col("in_left").alias("in_files"), F.col("in_right").alias("in_db")).agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")
@@ -127,7 +128,7 @@ def q_state_machine(spark, d):
     """Which requests run, given the states that are stored."""
     keys = table(spark, d, "orders").select("o_orderkey")
     names = F.array(*map(F.lit, ["PENDING", "RUNNING", "COMPLETED", "FAILED"]))
-    states = keys.where("o_orderkey % 5 < 4").withColumn("status", F.get(names, (F.col("o_orderkey") % 5).cast("int")))
+    states = keys.withColumn("status", F.get(names, (F.col("o_orderkey") % 5).cast("int"))).where("status is not null")
     requests = keys.withColumn("force", F.col("o_orderkey") % 7 == 0)
     return snapshot.admit(states, requests, ["o_orderkey"]).select("o_orderkey", "run", "status")
 
@@ -143,10 +144,10 @@ def q_stale_recovery(spark, d):
     return snapshot.recover_stale(rows)
 
 
-@query("""SELECT c_custkey, c_name AS artist, NULL::INTEGER AS track_number FROM customer WHERE c_custkey <= 100""")
+@query("""SELECT c_custkey, c_name AS artist, NULL::INTEGER AS track_number FROM customer""")
 def q_schema_evolution(spark, d):
     """A renamed and an added column."""
-    rows = table(spark, d, "customer").where("c_custkey <= 100").select("c_custkey", "c_name")
+    rows = table(spark, d, "customer").select("c_custkey", "c_name")
     return snapshot.evolve(rows, {"c_name": "artist"}, {"track_number": "int"})
 
 
@@ -161,11 +162,11 @@ def q_fill_empty(spark, d):
     return out.select("doc_id", F.when(jsonb.is_empty(F.col("meta")), filled).otherwise(F.lit("kept")).alias("meta"))
 
 
-@query("""SELECT o_orderkey, o_totalprice AS before, o_totalprice + 1 AS after FROM orders WHERE o_orderkey % 50 = 0""")
+@query("""SELECT o_orderkey, o_totalprice AS before, o_totalprice + 1 AS after FROM orders WHERE o_orderstatus = 'P'""")
 def q_migration_diff(spark, d):
     """A dry run: only rows that a transform changes."""
-    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("v"))
-    after = rows.withColumn("v", F.when(F.col("o_orderkey") % 50 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("v"))
+    after = rows.withColumn("v", F.when(F.col("o_orderstatus") == "P", F.col("v") + 1).otherwise(F.col("v")))
     return snapshot.migration_diff(rows, after, ["o_orderkey"], "v")
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A table is broadcast only when it was counted and its rows times this estimate stay under the bound.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -7,14 +7,16 @@ its place in the order.
 1. One pass makes each document's set size and fingerprint, and the sketch. Equal sets are one class.
 2. Candidates: two sets of Jaccard t share an n-gram among the first n - ceil(t n) + 1 of both. Those prefixes
    are dealt by n-gram. Rows of one n-gram, sorted by set size, pair up if size and position allow t. An
-   n-gram with more than ``RUN`` rows pairs each row with few neighbours and the first row only, and its rows
-   are kept for step 5.
+   n-gram with more than ``RUN`` rows pairs each row with ``NEIGHBOURS`` rows and the first one only, and its
+   rows are kept for step 5.
 3. Verification: the order is cut into fragments of equal mass. Each candidate's set is cut with it; overlaps
    are counted fragment by fragment, each on its own, and summed per pair. The sum is exact.
 4. Links go to connected components.
-5. Rows of long runs: of a run whose members all lie in one component nothing is left to find. In any other,
-   each member outside the run's largest component is paired with all members of other components and
-   verified as before. So no pair within a component is enumerated, and no link between components is lost.
+5. Rows of long runs: of a run whose members all lie in one component nothing is left to find. In others, rows
+   meet in random buckets of about ``MEET``, pairs of different components are verified, components are renewed,
+   and so on. Once it is cheap (``CHEAP`` pairs a row), or after ``WAVES`` turns, each member outside its run's
+   largest component is paired with all members of other components. So almost no pair within a component is
+   enumerated, and no link between components is lost.
 
 Copies never make pairs. The sketch is the only thing that is collected; its size is a parameter.
 """
@@ -32,7 +34,8 @@ from .shingles import Shingler
 
 SKETCH_BITS, SKETCH_CHUNKS = 20, 64
 FRAGMENTS = 4
-RUN, NEIGHBOURS = 32, 4
+RUN, NEIGHBOURS = 32, 2
+MEET, CHEAP, WAVES = 16, 32, 4
 SPLIT_RUN = 50_000
 SEEN = 200_000
 
@@ -47,14 +50,14 @@ def survey(width: int, bits: int):
     def step(batches):
         shingle, counts = Shingler(width), np.zeros(1 << bits, np.int32)
         for batch in batches:
-            n, fp = [], []
+            n, fp, cells = [], [], []
             for text in batch.column(1):
                 s = shingle(text.as_py())
                 n.append(len(s))
                 fp.append(xxhash.xxh3_64_intdigest(s.tobytes()) if len(s) else None)
-                counts += np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.int32) if len(s) > 1 << 16 else 0
-                if len(s) <= 1 << 16:
-                    np.add.at(counts, (s >> np.uint64(64 - bits)).astype(np.int64), 1)
+                cells.append((s >> np.uint64(64 - bits)).astype(np.int64))
+            if cells:
+                counts += np.bincount(np.concatenate(cells), minlength=1 << bits).astype(np.int32)
             fps = pa.array(np.array([f or 0 for f in fp], np.uint64).view(np.int64), mask=np.array([f is None for f in fp], bool))
             none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
@@ -309,32 +312,51 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, per
     edges = links.select("a", "b")
     component = pointer_rounds(spark, scratch, edges)
 
-    runs = found.where("kind = 1").select(F.col("x").alias("token"), F.col("y").alias("fp"), "size").distinct()
-    named = component.select(F.col("id").alias("fp"), "component")
-    runs = scratch.put(runs.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "runs")
-    sizes = runs.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = scratch.put(
-        sizes.groupBy("token")
-        .agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("k"))
-        .where("k > 1")
-        .select("token", F.col("top.component").alias("most")),
-        "mixed",
-    )
-    if not largest.isEmpty():
-        mixed = scratch.put(runs.join(largest, "token"), "mixed")
-        other = mixed.where("component <> most").select(
-            "token", F.col("fp").alias("f2"), F.col("size").alias("s2"), F.col("component").alias("c2")
+    base = found.where("kind = 1").select(F.col("x").alias("token"), F.col("y").alias("fp"), "size").distinct()
+    base = scratch.put(base, "base-runs")
+    n1, n2 = F.shiftright("size", 32), F.shiftright("s2", 32)
+    rest = F.least(n1 - F.col("size").bitwiseAND(0xFFFFFFFF), n2 - F.col("s2").bitwiseAND(0xFFFFFFFF))
+    can = (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * rest >= percent * (n1 + n2))
+    for wave in range(WAVES):
+        named = component.select(F.col("id").alias("fp"), "component")
+        runs = base.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        runs = scratch.put(runs, "runs")
+        sizes = runs.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
+        stats = sizes.groupBy("token").agg(
+            F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows")
+        )
+        stats = scratch.put(
+            stats.where("k > 1").select(
+                "token",
+                F.col("top.component").alias("most"),
+                "rows",
+                (F.col("rows") * (F.col("rows") - F.col("top.n"))).alias("cross"),
+                F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("rows") / MEET)))).cast("long").alias("buckets"),
+            ),
+            "mixed",
         )
-        n1, n2 = F.shiftright("size", 32), F.shiftright("s2", 32)
-        rest = F.least(n1 - F.col("size").bitwiseAND(0xFFFFFFFF), n2 - F.col("s2").bitwiseAND(0xFFFFFFFF))
-        can = (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (
-            (100 + percent) * rest >= percent * (n1 + n2)
+        rows, cross = stats.agg(F.sum("rows"), F.sum("cross")).first()
+        if not rows:
+            break
+        last = cross <= CHEAP * rows or wave == WAVES - 1
+        mixed = runs.join(stats.drop("rows", "cross"), "token")
+        mixed = mixed.withColumn("bucket", F.pmod(F.xxhash64("fp", F.lit(wave)), "buckets") if not last else F.lit(0).cast("long"))
+        mixed = scratch.put(mixed.drop("buckets"), "mixed-rows")
+        other = mixed.where("component <> most") if last else mixed
+        other = other.select(
+            "token", "bucket", F.col("fp").alias("f2"), F.col("size").alias("s2"), F.col("component").alias("c2")
         )
-        crossed = mixed.join(other, "token").where((F.col("component") != F.col("c2")) & can)
-        more = crossed.select(F.least("fp", "f2").alias("a"), F.greatest("fp", "f2").alias("b")).distinct()
+        met = mixed.join(other, ["token", "bucket"]).where((F.col("component") != F.col("c2")) & can)
+        if not last:
+            met = met.where("fp < f2")
+        more = met.select(F.least("fp", "f2").alias("a"), F.greatest("fp", "f2").alias("b")).distinct()
         more = scratch.put(more.join(pairs, ["a", "b"], "left_anti"), "crossed")
         if not more.isEmpty():
             links = links.union(verified(more))
+            pairs = pairs.union(more)
+        if last:
+            break
+        component = pointer_rounds(spark, scratch, links.select("a", "b"))
 
     ends = links.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     component = pointer_rounds(spark, scratch, ends.where("a is not null and b is not null"))

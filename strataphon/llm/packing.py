@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -56,12 +57,25 @@ class ChunkIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def encode(self, chunks: list[bytes]) -> list[bytes]:
-        made = self.tokenizer.encode_batch([c.decode("utf-8") for c in chunks], add_special_tokens=False)
-        return [np.asarray(m.ids, dtype="<u4").tobytes() for m in made]
+        """Ids of each chunk. What is one word of lower-case Latin letters needs neither normalising nor splitting, so
+        it goes to the merges at once, byte by byte in the vocabulary's letters."""
+        out: list[bytes | None] = []
+        rest = []
+        for c in chunks:
+            text = c.decode("utf-8")
+            if len(c) <= CACHE_BYTES and _PLAIN.fullmatch(text) and text.isalpha() and text.lower() == text:
+                letters = c.decode("latin-1").translate(_BYTE_LETTERS)
+                out.append(np.asarray([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes())
+            else:
+                out.append(None)
+                rest.append(text)
+        made = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
+        return [np.asarray(next(made).ids, dtype="<u4").tobytes() if x is None else x for x in out]
 
     def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """Ids of every chunk; long ones are not kept."""
@@ -102,6 +116,18 @@ class ChunkIds:
 
 #: Punctuation that ends a chunk in ordinary prose; none of it starts a contraction.
 _CLOSING = b".,;:!?"
+#: Letters that are their own normal form.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_letters() -> str:
+    """The printable stand-in of each byte in byte-level vocabularies: printable bytes are themselves, others follow 255."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return "".join(chr(b if b in plain else next(other)) for b in range(256))
+
+
+_BYTE_LETTERS = _byte_letters()
 _CACHES: dict[str, ChunkIds] = {}
 
 

@@ -280,13 +280,14 @@ class Signal:
         local = np.convolve(local, smooth, "same")[: len(local)]
         back = np.arange(-round(2 * period), -max(1, round(period / 2)) + 1)
         cost = -100 * np.log(-back / period) ** 2
-        total, link = local.copy(), np.full(len(local), -1)
+        total, link, begun = local.copy(), np.full(len(local), -1), False
         for i in range(len(local)):
             at = i + back
             score = np.where(at >= 0, total[np.maximum(at, 0)], 0) + cost
             k = int(np.argmax(score))
             total[i] = local[i] + score[k]
-            link[i] = at[k] if at[k] >= 0 and local[i] >= 0.01 * local.max() else -1
+            begun = begun or local[i] >= 0.01 * local.max()
+            link[i] = at[k] if begun and at[k] >= 0 else -1
         best = local_peaks(total)
         i = int(best[np.flatnonzero(total[best] >= 0.5 * np.median(total[best]))[-1]]) if len(best) else int(np.argmax(total))
         path = []

@@ -42,7 +42,10 @@ def kind(doc: Column, *keys: str | int) -> Column:
 
 
 def canonical(doc: Column) -> Column:
-    """Key order, white space and number spelling made equal, so equal documents have equal text."""
+    """Key order, white space and number spelling made equal, so equal documents have equal text.
+
+    Numbers with an exponent are doubles and equal only such; others are exact.
+    """
     return F.to_json(F.try_parse_json(doc))
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -32,3 +35,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver tables; only the columns used later reach the scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; Spark serves the archive to them."""
+    context = spark.sparkContext
+    if getattr(context, "_strataphon_shipped", False):
+        return
+    root = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="strataphon-"), "strataphon.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, f"{root.name}/{path.relative_to(root)}")
+    context.addPyFile(archive)
+    context._strataphon_shipped = True

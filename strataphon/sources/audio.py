@@ -110,7 +110,7 @@ def read_flac_info(files: DataFrame) -> DataFrame:
                     info = flac_info(content)
                 except (ValueError, IndexError, struct.error):
                     info = {}
-                row = {"path": path, "file_size_bytes": length} | info
+                row = dict.fromkeys(names) | {"path": path, "file_size_bytes": length} | info
                 if info and info["sample_rate"]:
                     row["duration_sec"] = info["total_samples"] / info["sample_rate"]
                     row["bitrate"] = 8 * length / row["duration_sec"] if row["duration_sec"] else None

@@ -1,8 +1,8 @@
 """Chat formatting in budgeted windows with a loss mask.
 
 Template: each turn is ``<s>[role]\\n`` text ``</s>\\n``, with role and text escaped. The backslash is the
-escape: ``\\`` becomes ``\\\\``, and the first character of every control string inside a text gets a
-backslash before it, so no text can open or close a turn and unescaping gives the text back exactly.
+escape: it is doubled, and every control string inside a text gets one after its first character. So no
+escaped text holds a control string, none can open or close a turn, and unescaping gives the text back exactly.
 
 Windows: a conversation whose turns fit the budget is one window. Else prefix sums of turn sizes choose
 turn-aligned spans: each window repeats the leading system turn, then up to ``history`` budget of the turns
@@ -37,7 +37,7 @@ _TURN = re.compile(r"<s>\[((?:[^\\\]]|\\.)*)\]\n((?:[^\\<]|\\.|<(?!/s>))*)</s>\n
 
 
 def escape(text: str) -> str:
-    return _ESCAPE.sub(lambda m: "\\" + m[0], text)
+    return _ESCAPE.sub(lambda m: m[0][0] + "\\" + m[0][1:], text)
 
 
 def escape_role(role: str) -> str:

@@ -9,9 +9,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,10 +67,16 @@ def bounded_broadcast(
     return F.broadcast(df) if rows * row_bytes + (more or 0) <= limit else df
 
 
-def arrow_map(
-    df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(step, schema)
+_HELD: dict[str, object] = {}
+
+
+def held(owner: str, make: Callable[[], object]) -> object:
+    """What an operator keeps in a Python worker from task to task. Workers outlive operators, so whoever comes next
+    drops the memory of the one before."""
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = make()
+    return _HELD[owner]
 
 
 def pointer_rounds(spark: SparkSession, scratch: Scratch, edges: DataFrame) -> DataFrame:

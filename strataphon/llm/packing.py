@@ -25,13 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, held
 
 SEQUENCE = 4096
 END_ID = 2
 OPEN_WINDOWS = 64
 MERGE_WINDOWS = 1024
-CACHE_CHUNKS, CACHE_BYTES = 500_000, 64
+CACHE_CHUNKS, CACHE_BYTES = 300_000, 64
 GROUP_TEXTS, GROUP_BYTES = 256, 1 << 21
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -128,14 +128,11 @@ def _byte_letters() -> str:
 
 
 _BYTE_LETTERS = _byte_letters()
-_CACHES: dict[str, ChunkIds] = {}
 
 
 def chunk_ids(path: str) -> ChunkIds:
     """One cache for each vocabulary in a Python worker."""
-    if path not in _CACHES:
-        _CACHES[path] = ChunkIds(path)
-    return _CACHES[path]
+    return held(f"packing {path}", lambda: ChunkIds(path))
 
 
 def grouped(cache: ChunkIds, texts: pa.Array):

@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 500_000
+from .common import held
+
+CACHE_WORDS = 300_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -33,7 +35,7 @@ class Shingler:
     """
 
     def __init__(self, width: int):
-        self.width, self.words = width, WordHashes()
+        self.width, self.words = width, held("shingles", WordHashes)
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8").lower().split()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_broadcast
+from .common import Scratch, bounded_broadcast, held
 from .shingles import mix
 
 WINDOW = 400
@@ -55,12 +55,9 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_POWERS = Powers()
-
-
 def prefix_sums(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(S, inverse powers): the hash of b[i:j] is (S[j] - S[i]) * inverse[i]."""
-    up, down = _POWERS.get(len(b) + 1)
+    up, down = held("suffixes", Powers).get(len(b) + 1)
     sums = np.empty(len(b) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(_TABLE[b] * up[:-1], out=sums[1:])

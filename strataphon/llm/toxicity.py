@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import held
+
 TRAIN_ROWS, TRAIN_BYTES = 2000, 20_000
 DECAY, SPAN = 0.6, 7
 SYMBOLS = 64
 START, END, GAP = 26, 27, 63
 UNIT_CHARS, UNIT_STEP = 24, 12
 LANDMARKS, NEGATIVES, ROUNDS = 256, 6000, 3
-CACHE_UNITS = 500_000
+CACHE_UNITS = 300_000
 #: Digits that stand for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
@@ -235,6 +237,7 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, model: Model) -> DataFr
 
     def step(batches):
         mine, cache = shared.value, {}
+        held("toxicity", dict)
         for batch in batches:
             if mine.table is None:
                 best = np.zeros(batch.num_rows)

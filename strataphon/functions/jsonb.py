@@ -77,3 +77,19 @@ def flexible_string(raw: Column) -> Column:
     array = F.array_join(F.from_json(trimmed, "array<string>"), " / ")
     text = F.try_variant_get(F.try_parse_json(trimmed), "$", "string")
     return F.when(trimmed.startswith("["), F.coalesce(array, raw)).when(trimmed.startswith('"'), F.coalesce(text, raw)).otherwise(raw)
+
+
+def stem_value(features: Column, stem: str, key: str) -> Column:
+    """Text of a stem's scalar in any of the layouts that occur: nested under ``scalars``, bare, or flat at the top."""
+    root = ("mix",) if stem == "mix" else ("demucs", stem)
+    return F.coalesce(
+        path_text(features, *root, "scalars", key), path_text(features, *root, key), path_text(features, stem, key)
+    )
+
+
+def deep_merge(left: Column, right: Column, ddl: str) -> Column:
+    """Documents of two levels merged key by key, the right side wins; ``ddl`` is the type of the inner values."""
+    kind = f"map<string,map<string,{ddl}>>"
+    a, b = F.from_json(left, kind), F.from_json(right, kind)
+    both = F.map_zip_with(F.coalesce(a, F.create_map().cast(kind)), F.coalesce(b, F.create_map().cast(kind)), lambda _, x, y: merge_maps(x, y))
+    return F.to_json(both)

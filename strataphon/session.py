@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -49,3 +50,15 @@ def ship(spark: SparkSession) -> None:
             out.write(path, f"{root.name}/{path.relative_to(root)}")
     context.addPyFile(archive)
     context._strataphon_shipped = True
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where all runs in one local JVM."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    found = "file://" + tempfile.mkdtemp(prefix="strataphon-")
+    spark.conf.set("spark.checkpoint.dir", found)
+    return found

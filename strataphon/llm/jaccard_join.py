@@ -9,7 +9,8 @@ its place in the order.
    are dealt by n-gram. Rows of one n-gram, sorted by set size, pair up if size and position allow t. An
    n-gram with more than ``RUN`` rows pairs each row with ``NEIGHBOURS`` rows and the first one only, and its
    rows are kept for step 5.
-3. Verification: the order is cut into fragments of equal mass. Each candidate's set is cut with it; overlaps
+3. Verification: the mass that two sets' hash histograms have in common bounds their overlap from above; pairs
+   that it rules out go. The order is cut into fragments of equal mass. Each candidate's set is cut with it; overlaps
    are counted fragment by fragment, each on its own, and summed per pair. The sum is exact.
 4. Links go to connected components.
 5. Rows of long runs: of a run whose members all lie in one component nothing is left to find. In others, rows
@@ -34,6 +35,8 @@ from .shingles import Shingler
 
 SKETCH_BITS, SKETCH_CHUNKS = 20, 64
 FRAGMENTS = 4
+#: Cells of the histogram whose common mass bounds an overlap from above.
+CELLS = 128
 RUN, NEIGHBOURS = 32, 2
 MEET, CHEAP, WAVES = 16, 32, 4
 SPLIT_RUN = 50_000
@@ -229,20 +232,27 @@ def pair_up(percent: int):
 
 
 def fragments(width: int, shared):
-    """Documents (fp, text) -> rows (fp, fragment, tokens): the set cut along the global order."""
+    """Documents (fp, text) -> rows (fp, fragment, tokens): the set cut along the global order; ``cells``, in the row of
+    fragment -1, counts the set's n-grams by hash and is empty for sets too large for it."""
 
     def step(batches):
         shingle, order = Shingler(width), shared.value
         for batch in batches:
-            ids, parts, tokens = [], [], []
+            ids, parts, tokens, cells = [], [], [], []
             for fp, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = order(shingle(text.as_py()))
+                count = np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+                ids.append(fp)
+                parts.append(-1)
+                tokens.append(s[:0])
+                cells.append(count.tolist() if count.max() < 1 << 15 else [])
                 cuts = np.concatenate([[0], np.searchsorted(s, order.pivots), [len(s)]])
                 for k in range(len(cuts) - 1):
                     if cuts[k] < cuts[k + 1]:
                         ids.append(fp)
                         parts.append(k)
                         tokens.append(s[cuts[k] : cuts[k + 1]])
+                        cells.append(None)
             sizes = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -250,8 +260,9 @@ def fragments(width: int, shared):
                     pa.array(ids, pa.int64()),
                     pa.array(parts, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(sizes), as_long(flat)),
+                    pa.array(cells, pa.list_(pa.int16())),
                 ],
-                ["fp", "fragment", "tokens"],
+                ["fp", "fragment", "tokens", "cells"],
             )
 
     return step
@@ -291,8 +302,18 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, per
         ids = scratch.put(nodes.join(reps, "fp").select("fp", F.col("rep").alias("doc_id")), "nodes")
         texts = docs.join(bounded_broadcast(ids, 40), "doc_id").select("fp", "text")
         sets = scratch.put(
-            texts.mapInArrow(fragments(width, shared), "fp long, fragment int, tokens array<long>"), "fragments"
+            texts.mapInArrow(fragments(width, shared), "fp long, fragment int, tokens array<long>, cells array<smallint>"),
+            "fragments",
         )
+        size = reps.select("fp", "n")
+        bound = sets.where("fragment = -1").join(size, "fp")
+        bound = scratch.put(bound.select("fp", "n", "cells"), "cells")
+        left = bound.select(F.col("fp").alias("a"), F.col("n").alias("n1"), F.col("cells").alias("c1"))
+        right = bound.select(F.col("fp").alias("b"), F.col("n").alias("n2"), F.col("cells").alias("c2"))
+        most = F.aggregate(F.zip_with("c1", "c2", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda t, x: t + x)
+        may = (F.size("c1") == 0) | (F.size("c2") == 0) | ((100 + percent) * most >= percent * (F.col("n1") + F.col("n2")))
+        pairs = scratch.put(pairs.join(left, "a").join(right, "b").where(may).select("a", "b"), "possible")
+        sets = sets.where("fragment >= 0")
         one = sets.select(F.col("fp").alias("a"), "fragment", F.col("tokens").alias("ta"))
         two = sets.select(F.col("fp").alias("b"), "fragment", F.col("tokens").alias("tb"))
         partial = pairs.join(one, "a").join(two, ["b", "fragment"])
@@ -302,7 +323,6 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, per
         nb = reps.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("rep").alias("rb"))
         reach = F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common"))
         links = scratch.put(total.join(na, "a").join(nb, "b").where(reach).select("a", "b", "ra", "rb"), "links")
-        scratch.drop(sets)
         return links
 
     pairs = scratch.put(
@@ -340,6 +360,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, per
             break
         last = cross <= CHEAP * rows or wave == WAVES - 1
         mixed = runs.join(stats.drop("rows", "cross"), "token")
+        if not last:  # one run of each row: that of least hash, which like rows have in common
+            one_run = F.struct(F.xxhash64("token", F.lit(wave)).alias("h"), "token", "size", "component", "most", "buckets")
+            mixed = mixed.groupBy("fp").agg(F.min(one_run).alias("r")).select("fp", "r.token", "r.size", "r.component", "r.most", "r.buckets")
         mixed = mixed.withColumn("bucket", F.pmod(F.xxhash64("fp", F.lit(wave)), "buckets") if not last else F.lit(0).cast("long"))
         mixed = scratch.put(mixed.drop("buckets"), "mixed-rows")
         other = mixed.where("component <> most") if last else mixed

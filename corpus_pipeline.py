@@ -16,6 +16,9 @@ from strataphon.llm.packing import default_tokenizer, pack
 from strataphon.llm.suffix_dedup import strip_repeats
 from strataphon.llm.toxicity import score_toxicity, train_toxicity
 
+#: A passage of this many words that occurs again is a repeat.
+PASSAGE_WORDS = 51
+
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -38,8 +41,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated 400-byte strings go; ``n_chars`` follows the text."""
-    out = strip_repeats(spark, docs)
+    """Repeated passages of over 50 words and repeated 400-byte strings go; ``n_chars`` follows the text."""
+    out = strip_repeats(spark, docs, words=PASSAGE_WORDS)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -15,6 +15,8 @@ turn out to be alone leave the sort after the pass that shows it. Each pass look
 
 Positions that a repeated window covers are removed. Texts are never compared pairwise, all counts are
 sums, and the largest thing a task holds is one text or one group of bounded size. Hashes have 64 bits.
+
+With ``words`` the same passes run over a text's words, each a 64-bit hash, in place of its bytes.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, bounded_broadcast, held
-from .shingles import mix
+from .shingles import WordHashes, mix
 
 WINDOW = 400
 HOT = 50_000
@@ -40,10 +42,10 @@ _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 class Powers:
-    """Powers of the base and of its inverse modulo 2**64, grown as needed."""
+    """Powers of the base and of its inverse modulo 2**64, grown as needed; ``words`` caches word hashes."""
 
     def __init__(self):
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+        self.up, self.down, self.words = np.ones(1, np.uint64), np.ones(1, np.uint64), WordHashes()
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
@@ -60,7 +62,7 @@ def prefix_sums(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     up, down = held("suffixes", Powers).get(len(b) + 1)
     sums = np.empty(len(b) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_TABLE[b] * up[:-1], out=sums[1:])
+    np.cumsum((_TABLE[b] if b.dtype == np.uint8 else b) * up[:-1], out=sums[1:])
     return sums, down
 
 
@@ -109,16 +111,24 @@ def raw(text) -> np.ndarray:
     return np.frombuffer((text.as_py() or "").encode("utf-8"), np.uint8)
 
 
+def symbols(text, words: bool) -> np.ndarray:
+    """A text's bytes, or the hashes of its words: runs of bytes other than blank and \\t to \\r."""
+    if not words:
+        return raw(text)
+    found = (text.as_py() or "").encode("utf-8").split()
+    return np.fromiter(map(held("suffixes", Powers).words.__getitem__, found), np.uint64, len(found))
+
+
 def longs(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
-def survey(window: int, seed: int):
+def survey(window: int, seed: int, words: bool):
     def step(batches):
         for batch in batches:
             out = [[], [], [], [], []]
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                at, h, span = picks(raw(text), window, seed)
+                at, h, span = picks(symbols(text, words), window, seed)
                 if len(at):
                     first, _, count = distinct(h, span)
                     for o, x in zip(out, (h[first], span[first], np.full(len(first), uid), at[first], count)):
@@ -133,17 +143,17 @@ def survey(window: int, seed: int):
     return step
 
 
-def contexts(window: int, seed: int):
-    """(text, list of (pos, seed, c)) -> rows with the bytes around each pick."""
+def contexts(window: int, seed: int, words: bool):
+    """(text, list of (pos, seed, c)) -> rows with the bytes, or word hashes, around each pick."""
 
     def step(batches):
         for batch in batches:
             rows = []
             for uid, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                b = (text.as_py() or "").encode("utf-8")
+                b = symbols(text, words)
                 for p in places:
                     low = max(0, p["pos"] - (window - seed))
-                    rows.append((p["seed"], uid, p["pos"], p["c"], p["pos"] - low, b[low : p["pos"] + window]))
+                    rows.append((p["seed"], uid, p["pos"], p["c"], p["pos"] - low, b[low : p["pos"] + window].tobytes()))
                 if len(rows) > 20_000:
                     yield _contexts(rows)
                     rows = []
@@ -163,11 +173,11 @@ def _contexts(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXT)], schema=_CONTEXT)
 
 
-def window_keys(seeds: np.ndarray, left: list[int], texts: list[bytes], window: int, seed: int):
+def window_keys(seeds: np.ndarray, left: list[int], texts: list[bytes], window: int, seed: int, words: bool):
     """(row, d, key) of every window around the picks, d the pick's place in the window."""
-    b = np.frombuffer(b"".join(texts), np.uint8)
+    b = np.frombuffer(b"".join(texts), np.uint64 if words else np.uint8)
     sums, down = prefix_sums(b)
-    sizes = np.array([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts]) // b.itemsize
     base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     n = np.maximum(sizes - window + 1, 0)  # windows inside each context; each holds the pick
     row = np.repeat(np.arange(len(texts)), n)
@@ -181,7 +191,7 @@ def window_keys(seeds: np.ndarray, left: list[int], texts: list[bytes], window:
 
 
 def intervals(uid, pos, d, window: int):
-    """Rows (uid, pos, d) sorted by (uid, pos, d) -> merged byte intervals (uid, start, end)."""
+    """Rows (uid, pos, d) sorted by (uid, pos, d) -> merged intervals (uid, start, end)."""
     if not len(uid):
         return uid, pos, pos
     cut = np.flatnonzero(np.concatenate([[True], (uid[1:] != uid[:-1]) | (pos[1:] != pos[:-1]) | (d[1:] != d[:-1] + 1)]))
@@ -189,12 +199,12 @@ def intervals(uid, pos, d, window: int):
     return uid[cut], pos[cut] - d[last], pos[cut] - d[cut] + window
 
 
-def refine(window: int, seed: int):
-    """Contexts sorted by seed -> byte intervals that repeated windows cover."""
+def refine(window: int, seed: int, words: bool):
+    """Contexts sorted by seed -> intervals that repeated windows cover."""
 
     def work(rows):
         seeds = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-        row, d, key = window_keys(seeds, [r[4] for r in rows], [r[5] for r in rows], window, seed)
+        row, d, key = window_keys(seeds, [r[4] for r in rows], [r[5] for r in rows], window, seed, words)
         c = np.array([r[3] for r in rows])
         _, inverse = np.unique(key, return_inverse=True)
         total = np.bincount(inverse, weights=np.minimum(c, 2)[row]) if len(key) else np.zeros(0)
@@ -227,13 +237,13 @@ def refine(window: int, seed: int):
     return step
 
 
-def hot_windows(window: int, seed: int):
+def hot_windows(window: int, seed: int, words: bool):
     def step(batches):
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
             for k in range(0, batch.num_rows, GROUP_ROWS):
                 part = [c[k : k + GROUP_ROWS] for c in cols]
-                row, d, key = window_keys(np.array(part[0], np.int64).view(np.uint64), part[4], part[5], window, seed)
+                row, d, key = window_keys(np.array(part[0], np.int64).view(np.uint64), part[4], part[5], window, seed, words)
                 uid, pos, c = (np.array(part[j], np.int64)[row] for j in (1, 2, 3))
                 yield pa.RecordBatch.from_arrays(
                     [longs(key), pa.array(uid), pa.array(pos, pa.int32()), pa.array(d, pa.int32()), pa.array(c)],
@@ -243,17 +253,17 @@ def hot_windows(window: int, seed: int):
     return step
 
 
-def repeated(spark: SparkSession, docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
-    """``docs`` with ``resolved array<int>`` (first places of repeated second digits) and ``found`` (byte intervals).
+def named(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_uid", F.xxhash64("doc_id", "text"))
 
-    Internal form; ``strip_repeats`` and ``digest`` turn it into bytes.
-    """
+
+def covers(spark: SparkSession, docs: DataFrame, window: int, hot: int = HOT, words: bool = False) -> DataFrame:
+    """``uid, resolved array<int>`` (first places of repeated second digits) and ``found`` (intervals) of ``docs``."""
     seed = window // 2
     scratch = Scratch(spark, "suffixes")
-    named = docs.withColumn("_uid", F.xxhash64("doc_id", "text"))
-    texts = named.select("_uid", "text")
+    texts = named(docs).select("_uid", "text")
     rows = scratch.put(
-        texts.mapInArrow(survey(window, seed), "seed long, span long, uid long, pos int, m int"), "picks"
+        texts.mapInArrow(survey(window, seed, words), "seed long, span long, uid long, pos int, m int"), "picks"
     )
     live = scratch.put(
         rows.groupBy("seed").agg(F.sum("m").alias("n")).where("n > 1").select("seed"), "live"
@@ -277,12 +287,12 @@ def repeated(spark: SparkSession, docs: DataFrame, window: int = WINDOW, hot: in
         lists = scratch.put(mine.groupBy("_uid").agg(F.collect_list("p").alias("places")), "places")
         sent = texts.join(bounded_broadcast(lists, 48, more_bytes="24 * size(places)"), "_uid").select("_uid", "text", "places")
         # rows that repeat a document repeat its uid; one of them is enough
-        sent = sent.mapInArrow(contexts(window, seed), _CONTEXT_SQL)
+        sent = sent.mapInArrow(contexts(window, seed, words), _CONTEXT_SQL)
         if not is_hot:
             sent = sent.repartition("seed").sortWithinPartitions("seed", "uid", "pos")
-            found.append(sent.mapInArrow(refine(window, seed), "uid long, start int, end int"))
+            found.append(sent.mapInArrow(refine(window, seed, words), "uid long, start int, end int"))
             continue
-        keys = scratch.put(sent.mapInArrow(hot_windows(window, seed), "key long, uid long, pos int, d int, c long"), "hot")
+        keys = scratch.put(sent.mapInArrow(hot_windows(window, seed, words), "key long, uid long, pos int, d int, c long"), "hot")
         twice = scratch.put(
             keys.groupBy("key").agg(F.sum("c").alias("n")).where("n > 1").select("key"), "hot-twice"
         )
@@ -299,12 +309,20 @@ def repeated(spark: SparkSession, docs: DataFrame, window: int = WINDOW, hot: in
         ),
         "lists",
     )
-    lists = bounded_broadcast(lists, 64, more_bytes="4 * size(resolved) + 24 * size(found)")
-    return named.join(lists.withColumnRenamed("uid", "_uid"), "_uid", "left").drop("_uid")
+    return bounded_broadcast(lists, 64, more_bytes="4 * size(resolved) + 24 * size(found)")
+
+
+def repeated(spark: SparkSession, docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
+    """``docs`` with ``resolved`` and ``found`` of their bytes.
+
+    Internal form; ``strip_repeats`` and ``digest`` turn it into bytes.
+    """
+    lists = covers(spark, docs, window, hot)
+    return named(docs).join(lists.withColumnRenamed("uid", "_uid"), "_uid", "left").drop("_uid")
 
 
 def removed_mask(b: np.ndarray, resolved, found, window: int) -> np.ndarray:
-    """Bytes of one text that repeated windows cover."""
+    """Symbols of one text that repeated windows cover."""
     edge = np.zeros(len(b) + 1, np.int64)
     if resolved:
         at, h, span = picks(b, window, window // 2)
@@ -319,6 +337,17 @@ def removed_mask(b: np.ndarray, resolved, found, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def word_bytes(b: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Bytes of one text from the first to the last word of each run of words in ``mask``."""
+    blank = np.concatenate([[True], (b == 32) | ((b >= 9) & (b <= 13)), [True]])
+    starts, ends = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+    step = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
+    edge = np.zeros(len(b) + 1, np.int64)
+    edge[starts[np.flatnonzero(step == 1)]] += 1
+    edge[ends[np.flatnonzero(step == -1) - 1]] -= 1
+    return np.cumsum(edge[:-1]) > 0
+
+
 def runs(mask: np.ndarray) -> int:
     return int(np.count_nonzero(np.diff(np.concatenate([[0], mask.astype(np.int8)])) == 1))
 
@@ -344,8 +373,9 @@ def digest(found: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def strip_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with every byte removed from ``text`` that a repeated ``window``-byte string covers.
+def strip_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
+    """``docs`` with every byte removed from ``text`` that a repeated ``window``-byte string covers, or, if ``words``
+    is given, a repeated passage of that many words, whatever blanks are between them.
 
     All occurrences go, the first included; texts are judged as they come in. Bytes of a character that was
     cut in two go with it. A null text stays null, a text shorter than the window as it is. Repeated rows are
@@ -355,20 +385,29 @@ def strip_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) ->
     own = docs.columns
     safe = docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"c{k}_{c}") for k, c in enumerate(own)])
     found = repeated(spark, safe, window)
+    if words:
+        lists = covers(spark, safe, words, words=True).toDF("_uid", "w_resolved", "w_found")
+        found = named(found).join(lists, "_uid", "left").drop("_uid")
+    else:
+        found = found.withColumns({c: F.lit(None).cast(found.schema[c[2:]].dataType) for c in ("w_resolved", "w_found")})
     at = found.columns.index("text")
     r, f = found.columns.index("resolved"), found.columns.index("found")
+    wr, wf = found.columns.index("w_resolved"), found.columns.index("w_found")
     schema = safe.schema
 
     def step(batches):
         for batch in batches:
             texts = []
-            for text, resolved, spans in zip(batch.column(at), batch.column(r).to_pylist(), batch.column(f).to_pylist()):
-                if not (resolved or spans):
+            for text, resolved, spans, w_resolved, w_spans in zip(batch.column(at), *(batch.column(k).to_pylist() for k in (r, f, wr, wf))):
+                if not (resolved or spans or w_resolved or w_spans):
                     texts.append(text.as_py())
                     continue
                 b = raw(text)
-                texts.append(b[~removed_mask(b, resolved, spans, window)].tobytes().decode("utf-8", "ignore"))
-            cols = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns) if k not in (r, f)]
+                gone = removed_mask(b, resolved, spans, window)
+                if w_resolved or w_spans:
+                    gone |= word_bytes(b, removed_mask(symbols(text, True), w_resolved, w_spans, words))
+                texts.append(b[~gone].tobytes().decode("utf-8", "ignore"))
+            cols = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns) if k not in (r, f, wr, wf)]
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     out = found.select(*[F.col(f"`{c}`") for c in found.columns]).mapInArrow(step, schema)

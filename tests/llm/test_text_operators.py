@@ -127,6 +127,48 @@ def test_strip_keeps_columns(spark):
     assert suffix_dedup.strip_repeats(spark, df.where("false"), 40).count() == 0
 
 
+def brute_passages(texts, width):
+    words = [(t or "").encode().split() for t in texts]
+    seen = Counter(tuple(w[i : i + width]) for w in words for i in range(len(w) - width + 1))
+    kept = []
+    for w in words:
+        m = np.zeros(len(w), bool)
+        for i in range(len(w) - width + 1):
+            if seen[tuple(w[i : i + width])] > 1:
+                m[i : i + width] = True
+        kept.append([x.decode() for x, gone in zip(w, m) if not gone])
+    return kept
+
+
+def test_strip_words_against_brute(spark):
+    rng = random.Random(6)
+    base = [" ".join(rng.choice(["ä", "b", "cd", "efg"]) for _ in range(40)) for _ in range(12)]
+    texts = [None, "", "a " * 30, "a b " * 20 + "c"]
+    for _ in range(80):
+        w = " ".join(" ".join(rng.choice(base).split()[rng.randint(0, 15) :][: rng.randint(1, 30)]) for _ in range(rng.randint(1, 4))).split()
+        texts.append("".join(x + rng.choice([" ", "\n", " \t"]) for x in w))
+    out = suffix_dedup.strip_repeats(spark, frame(spark, texts), 4000, words=11).collect()
+    got = {r.doc_id: (r.text or "").split() for r in out}
+    assert [got[i] for i in range(len(texts))] == brute_passages(texts, 11)
+
+
+@pytest.mark.parametrize("n", [50, 51])
+def test_pipeline_strips_short_passages(spark, n):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    fresh = lambda k: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(k))
+    passage, long = " ".join(rng.choice(["é", "ab", "cde"]) for _ in range(n)), fresh(1) * 70
+    heads = [f"{fresh(20)}{k}" for k in range(4)]
+    assert len(passage.encode()) < 400 < len(long)
+    texts = [f"{heads[0]} {passage} end", f"{heads[1]}\n{passage}\nstop", f"{heads[2]} {long} x", f"{heads[3]} {long} y"]
+    df = frame(spark, texts).selectExpr("*", "length(text) as n_chars")
+    got = {r.doc_id: ("".join(r.text.split()), r.n_chars - len(r.text)) for r in corpus_pipeline.suffix_dedup(spark, df, "").collect()}
+    mid = passage.split() if n == 50 else []
+    want = [heads[0].split() + mid + ["end"], heads[1].split() + mid + ["stop"], heads[2].split() + ["x"], heads[3].split() + ["y"]]
+    assert [got[i] for i in range(4)] == [("".join(w), 0) for w in want]
+
+
 def packed(spark, texts, **more):
     df = frame(spark, texts).selectExpr("*", "1 as start", "'x' as ids").repartition(3)
     return packing.pack(spark, df, packing.default_tokenizer(), **more).toPandas()

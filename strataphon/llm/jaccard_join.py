@@ -48,7 +48,7 @@ def as_long(x: np.ndarray) -> pa.Array:
 
 
 def survey(width: int, bits: int):
-    """Documents -> rows (doc_id, n, fp) and, at the end of a partition, sketch chunks (chunk, counts)."""
+    """Documents -> rows (doc_id, text_key, n, fp) and, at the end of a partition, sketch chunks (chunk, counts)."""
 
     def step(batches):
         shingle, counts = Shingler(width), np.zeros(1 << bits, np.int32)
@@ -64,15 +64,15 @@ def survey(width: int, bits: int):
             fps = pa.array(np.array([f or 0 for f in fp], np.uint64).view(np.int64), mask=np.array([f is None for f in fp], bool))
             none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), fps, none.cast(pa.int32()), none.cast(pa.binary())],
-                ["doc_id", "n", "fp", "chunk", "counts"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), fps, none.cast(pa.int32()), none.cast(pa.binary())],
+                ["doc_id", "text_key", "n", "fp", "chunk", "counts"],
             )
         parts = counts.reshape(SKETCH_CHUNKS, -1)
         used = np.flatnonzero(parts.any(axis=1))
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())],
-            ["doc_id", "n", "fp", "chunk", "counts"],
+            [none, none, none, none, pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())],
+            ["doc_id", "text_key", "n", "fp", "chunk", "counts"],
         )
 
     return step
@@ -268,21 +268,19 @@ def fragments(width: int, shared):
     return step
 
 
-def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs (doc_id, text)``.
+def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component, component_id, n_links`` of every row of ``docs (doc_id, text)``.
 
-    Two rows link if 100 * common >= percent * all of their shingle sets. ``n_links`` counts the verified
-    links of the row's class to other classes that the search needed, not those implied by the component. A
-    null or empty text, or one of blanks, has no set and links with nothing. A row of null doc_id links like
-    others but lends no id; its component_id is null if all its component's ids are. Repeated rows are copies.
-    An empty table gives an empty table; other columns are ignored.
+    As ``jaccard_components``; ``doc_id`` and ``text_key``, the hash of the text, tell rows of one id apart.
+    ``component`` names the component by a set's fingerprint, whoever shares its ids, and is null without a set.
     """
     scratch = Scratch(spark, "jaccard")
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     made = scratch.put(
-        docs.mapInArrow(survey(width, SKETCH_BITS), "doc_id long, n long, fp long, chunk int, counts binary"), "survey"
+        docs.mapInArrow(survey(width, SKETCH_BITS), "doc_id long, text_key long, n long, fp long, chunk int, counts binary"),
+        "survey",
     )
-    info = made.where("n is not null").select("doc_id", "n", "fp")
+    info = made.where("n is not null").select("doc_id", "text_key", "n", "fp")
     counts = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), np.int64)
     chunks = made.where("chunk is not null").select("chunk", "counts").repartition("chunk")
     for row in chunks.mapInArrow(add_chunks, "chunk int, counts binary").collect():  # SKETCH_CHUNKS rows
@@ -292,15 +290,28 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, per
     keys = docs.mapInArrow(prefixes(width, percent, shared), "token long, fp long, size long")
     keys = keys.repartition("token").sortWithinPartitions("token", "size", "fp")
     found = scratch.put(keys.mapInArrow(pair_up(percent), "kind int, x long, y long, size long"), "candidates")
-    reps = scratch.put(
-        info.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes"
+    rows = info.where("fp is not null").groupBy("fp", "doc_id", "text_key", "n").agg(F.count(F.lit(1)).alias("same"))
+    text = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "same")).alias("at")
+    reps = rows.groupBy("fp").agg(text, F.first("n").alias("n")).select(
+        "fp", F.col("at.doc_id").alias("rep"), F.col("at.text_key").alias("rep_key"), F.col("at.same").alias("same"), "n"
     )
+    reps = scratch.put(reps, "classes")
+    some_repeat = not reps.where("same > 1").isEmpty()
+
+    def class_texts(nodes: DataFrame) -> DataFrame:
+        """``nodes``, one row a class, with the class's ``text``: one, though its row may be repeated."""
+        ids = nodes.join(reps.select("fp", "rep", "rep_key", "same"), "fp")
+        ids = scratch.put(ids, "nodes")
+        at = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key"))
+        texts = docs.join(bounded_broadcast(ids, 64), at).select("text", "same", *nodes.columns)
+        if some_repeat:
+            texts = texts.where("same = 1").union(texts.where("same > 1").dropDuplicates(["fp"]))
+        return texts.select(*nodes.columns, "text")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of fingerprints that reach the threshold."""
         nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-        ids = scratch.put(nodes.join(reps, "fp").select("fp", F.col("rep").alias("doc_id")), "nodes")
-        texts = docs.join(bounded_broadcast(ids, 40), "doc_id").select("fp", "text")
+        texts = class_texts(nodes)
         sets = scratch.put(
             texts.mapInArrow(fragments(width, shared), "fp long, fragment int, tokens array<long>, cells array<smallint>"),
             "fragments",
@@ -319,18 +330,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, per
         partial = pairs.join(one, "a").join(two, ["b", "fragment"])
         partial = partial.select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"))
         total = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
-        na = reps.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("rep").alias("ra"))
-        nb = reps.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("rep").alias("rb"))
+        na = reps.select(F.col("fp").alias("a"), F.col("n").alias("na"))
+        nb = reps.select(F.col("fp").alias("b"), F.col("n").alias("nb"))
         reach = F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common"))
-        links = scratch.put(total.join(na, "a").join(nb, "b").where(reach).select("a", "b", "ra", "rb"), "links")
+        links = scratch.put(total.join(na, "a").join(nb, "b").where(reach).select("a", "b"), "links")
         return links
 
     pairs = scratch.put(
         found.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs"
     )
     links = verified(pairs)
-    edges = links.select("a", "b")
-    component = pointer_rounds(spark, scratch, edges)
+    component = pointer_rounds(spark, scratch, links)
 
     base = found.where("kind = 1").select(F.col("x").alias("token"), F.col("y").alias("fp"), "size").distinct()
     base = scratch.put(base, "base-runs")
@@ -377,26 +387,41 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, per
         if not more.isEmpty():
             links = links.union(verified(more))
             pairs = pairs.union(more)
+        component = pointer_rounds(spark, scratch, links)
         if last:
             break
-        component = pointer_rounds(spark, scratch, links.select("a", "b"))
 
-    ends = links.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    component = pointer_rounds(spark, scratch, ends.where("a is not null and b is not null"))
     degree = links.select(F.col("a").alias("fp")).union(links.select("b")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = reps.join(component.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "fp", "left")
+    classes = reps.join(component.withColumnRenamed("id", "fp"), "fp", "left").join(degree, "fp", "left")
     classes = scratch.put(
-        classes.select("fp", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
-        "named",
+        classes.select("fp", "rep", F.coalesce("component", "fp").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
+        "linked",
     )
+    names = scratch.put(classes.groupBy("component").agg(F.min("rep").alias("name")), "names")
+    classes = scratch.put(classes.join(names, "component").select("fp", "component", "name", "n_links"), "named")
     return info.join(classes, "fp", "left").select(
         "doc_id",
+        "text_key",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        "component",
+        F.coalesce("name", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
 
 
+def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs (doc_id, text)``.
+
+    Two rows link if 100 * common >= percent * all of their shingle sets. ``n_links`` counts the verified
+    links of the row's class to other classes that the search needed, not those implied by the component. A
+    null or empty text, or one of blanks, has no set and links with nothing. A row of null doc_id links like
+    others but lends no id; its component_id is null if all its component's ids are. Repeated rows are copies.
+    Rows of one id and different texts are judged each by its text; components of equal smallest id then bear
+    the same component_id. An empty table gives an empty table; other columns are ignored.
+    """
+    return jaccard_rows(spark, docs, width, percent).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by 4-word shingles at 0.85."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

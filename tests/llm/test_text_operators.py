@@ -75,6 +75,25 @@ def test_jaccard_empty_and_null_ids(spark):
     assert sorted((r.component_id for r in jaccard_join.jaccard_components(spark, rows).collect())) == [7, 7, 7]
 
 
+def test_jaccard_repeated_shared_and_null_ids(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"{rng.getrandbits(40):x}" for _ in range(n)]
+    common = fresh(10_000)
+    near = [" ".join(common + fresh(10_000)) for _ in range(2)]  # Jaccard 1/3, alike in every bound
+    c, d, e = fresh(200), fresh(200), fresh(200)
+    copy = lambda w: " ".join(w[:-1] + ["x"])
+    rows = [(1, near[0])] * 2 + [(2, near[1])] * 2
+    rows += [(3, " ".join(c)), (3, " ".join(d)), (4, copy(c)), (5, copy(d)), (None, " ".join(e)), (None, " ".join(e)), (9, copy(e))]
+    rows = [(a, b, k) for k, (a, b) in enumerate(rows)]
+    got = jaccard_join.jaccard_rows(spark, spark.createDataFrame(rows, DOCS + ", k int"), 4, 85).collect()
+    key = {r.text: r.h for r in spark.createDataFrame(rows, DOCS + ", k int").selectExpr("text", "xxhash64(text) as h").collect()}
+    named = {(r.doc_id, r.text_key): r for r in got}
+    at = lambda i: named[rows[i][0], key[rows[i][1]]]
+    assert len(got) == len(rows)
+    assert [at(i).component_id for i in range(11)] == [1, 1, 2, 2, 3, 3, 3, 3, 9, 9, 9]
+    assert at(4).component == at(6).component != at(5).component == at(7).component
+
+
 def brute_removed(texts, window):
     raw = [(t or "").encode() for t in texts]
     seen = Counter(b[i : i + window] for b in raw for i in range(len(b) - window + 1))

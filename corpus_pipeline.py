@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataphon.llm.common import Scratch, bounded_broadcast
-from strataphon.llm.jaccard_join import jaccard_components
+from strataphon.llm.jaccard_join import jaccard_rows
 from strataphon.llm.mixing import mix
 from strataphon.llm.packing import default_tokenizer, pack
 from strataphon.llm.suffix_dedup import strip_repeats
@@ -31,13 +31,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (5 words, 0.8) the document of smallest id stays."""
+    """Of each group of near-duplicates (5 words, 0.8) the row of smallest id stays, of a repeated row one.
+
+    Rows are told apart by id and text: of texts that share an id only copies go. Rows of null id stay.
+    """
     scratch = Scratch(spark, "near")
-    found = scratch.put(jaccard_components(spark, docs, width=5, percent=80).select("doc_id", "component_id"), "groups")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(bounded_broadcast(gone, 24), "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.groupBy("doc_id").count().where("`count` > 1 and doc_id is not null")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    found = jaccard_rows(spark, docs, width=5, percent=80).where("doc_id is not null")
+    found = scratch.put(found.select("doc_id", "text_key", "component"), "groups")
+    first = found.where("component is not null").groupBy("component").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("n")
+    )
+    first = scratch.put(first.where("n > 1").select("component", "first"), "first")
+    gone = found.join(bounded_broadcast(first, 40), "component").where(F.struct("doc_id", "text_key") != F.col("first"))
+    gone = scratch.put(gone.select("doc_id", "text_key").distinct(), "gone")
+    key = docs.withColumn("text_key", F.xxhash64("text"))
+    kept = key.join(bounded_broadcast(gone, 32), ["doc_id", "text_key"], "left_anti")
+    if not found.groupBy("doc_id", "text_key").count().where("`count` > 1").isEmpty():
+        once = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text_key"])
+        kept = once.unionByName(kept.where("doc_id is null"))
+    return kept.select(*docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

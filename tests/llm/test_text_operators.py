@@ -94,6 +94,20 @@ def test_jaccard_repeated_shared_and_null_ids(spark):
     assert at(4).component == at(6).component != at(5).component == at(7).component
 
 
+def test_pipeline_near_copies_go_by_row(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    a, b, c, d, e = ([f"{rng.getrandbits(40):x}" for _ in range(60)] for _ in range(5))
+    near, whole = lambda w: " ".join([*w[:-1], "x"]), " ".join
+    rows = [(1, whole(a)), (1, whole(a)), (2, near(a)), (2, whole(b)), (3, whole(c)), (3, whole(d)), (4, near(d)), (5, None), (6, "")]
+    rows += [(None, whole(e)), (None, near(e)), (None, "alone"), (None, None)]
+    out = corpus_pipeline.ngram_jaccard(spark, spark.createDataFrame(rows, DOCS), "")
+    gone = Counter([(1, whole(a)), (2, near(a)), (4, near(d))])
+    assert out.columns == ["doc_id", "text"]
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(rows) - gone
+
+
 def brute_removed(texts, window):
     raw = [(t or "").encode() for t in texts]
     seen = Counter(b[i : i + window] for b in raw for i in range(len(b) - window + 1))

@@ -18,6 +18,9 @@ its place in the order.
    and so on. Once it is cheap (``CHEAP`` pairs a row), or after ``WAVES`` turns, each member outside its run's
    largest component is paired with all members of other components. So almost no pair within a component is
    enumerated, and no link between components is lost.
+6. A class whose component holds a link between any two of its classes has its number of links from them. Components
+   with other pairs left are dealt in blocks of about ``BLOCK_SETS`` sets or ``BLOCK_GRAMS`` n-grams; every two blocks
+   meet in one task, which counts all their overlaps. The work is quadratic in such a component, the memory bounded.
 
 Copies never make pairs. The sketch is the only thing that is collected; its size is a parameter.
 """
@@ -41,6 +44,7 @@ RUN, NEIGHBOURS = 32, 2
 MEET, CHEAP, WAVES = 16, 32, 4
 SPLIT_RUN = 50_000
 SEEN = 200_000
+BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 19
 
 
 def as_long(x: np.ndarray) -> pa.Array:
@@ -268,6 +272,77 @@ def fragments(width: int, shared):
     return step
 
 
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of each of ``xs`` with each of ``ys``, all without repeats."""
+    tx, ty = np.concatenate(xs), np.concatenate(ys)
+    both = np.intersect1d(tx, ty)
+    out = np.zeros(len(xs) * len(ys), np.int64)
+    if not len(both):
+        return out.reshape(len(xs), len(ys))
+
+    def entries(sets, flat):
+        at = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        rows, ok = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), both[at] == flat
+        order = np.argsort(at[ok], kind="stable")
+        return at[ok][order], rows[ok][order]
+
+    (cx, rx), (cy, ry) = entries(xs, tx), entries(ys, ty)
+    nx, ny = np.bincount(cx, minlength=len(both)), np.bincount(cy, minlength=len(both))
+    dense = 64 * nx * ny > len(out)
+    place = np.cumsum(dense) - 1
+    for low in range(0, int(dense.sum()), 4096):
+        a, b = np.zeros((len(xs), 4096), np.float32), np.zeros((len(ys), 4096), np.float32)
+        for m, c, r in ((a, cx, rx), (b, cy, ry)):
+            mine = dense[c] & (place[c] >= low) & (place[c] < low + 4096)
+            m[r[mine], place[c[mine]] - low] = 1
+        out += (a @ b.T).astype(np.int64).ravel()
+    thin = ~dense[cx]
+    cx, rx, start = cx[thin], rx[thin], np.cumsum(ny) - ny
+    total = np.cumsum(ny[cx])
+    for low in range(0, int(total[-1]) if len(total) else 0, 1 << 22):
+        i, j = np.searchsorted(total, [low, low + (1 << 22)], "right")
+        j = len(total) if total[-1] <= low + (1 << 22) else j
+        n = ny[cx[i:j]]
+        y = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[cx[i:j]], n)
+        out += np.bincount(np.repeat(rx[i:j], n) * len(ys) + ry[y], minlength=len(out))
+    return out.reshape(len(xs), len(ys))
+
+
+def block_links(width: int, percent: int):
+    """Rows (component, low, high, block, fp, size, text) sorted by the first three -> (fp, links) of each two blocks."""
+
+    def work(rows, low: int, high: int):
+        own = [[r for r in rows if r[0] == k] for k in ((low,) if low == high else (low, high))]
+        x, y = own[0], own[-1]
+        if not x or not y:
+            return
+        sets = [[r[3] for r in part] for part in (x, y)]
+        n1, n2 = (np.array([len(t) for t in part], np.int64) for part in sets)
+        common = overlaps(*sets)
+        linked = 100 * common >= percent * (n1[:, None] + n2[None, :] - common)
+        if low == high:
+            np.fill_diagonal(linked, False)
+        out = [([r[1] for r in x], linked @ np.array([r[2] for r in y], np.int64))]
+        if low != high:
+            out.append(([r[1] for r in y], linked.T @ np.array([r[2] for r in x], np.int64)))
+        for fps, links in out:
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(links, pa.int64())], ["fp", "links"])
+
+    def step(batches):
+        shingle, rows, group = Shingler(width), [], None
+        for batch in batches:
+            for *key, block, fp, size, k in zip(*(c.to_pylist() for c in batch.columns[:6]), range(batch.num_rows)):
+                if key != group:
+                    if rows:
+                        yield from work(rows, *group[1:])
+                    rows, group = [], key
+                rows.append((block, fp, size, shingle(batch.column(6)[k].as_py())))
+        if rows:
+            yield from work(rows, *group[1:])
+
+    return step
+
+
 def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, text_key, n_shingles, component, component_id, n_links`` of every row of ``docs (doc_id, text)``.
 
@@ -292,8 +367,8 @@ def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent:
     found = scratch.put(keys.mapInArrow(pair_up(percent), "kind int, x long, y long, size long"), "candidates")
     rows = info.where("fp is not null").groupBy("fp", "doc_id", "text_key", "n").agg(F.count(F.lit(1)).alias("same"))
     text = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "same")).alias("at")
-    reps = rows.groupBy("fp").agg(text, F.first("n").alias("n")).select(
-        "fp", F.col("at.doc_id").alias("rep"), F.col("at.text_key").alias("rep_key"), F.col("at.same").alias("same"), "n"
+    reps = rows.groupBy("fp").agg(text, F.first("n").alias("n"), F.sum("same").alias("size")).select(
+        "fp", "size", F.col("at.doc_id").alias("rep"), F.col("at.text_key").alias("rep_key"), F.col("at.same").alias("same"), "n"
     )
     reps = scratch.put(reps, "classes")
     some_repeat = not reps.where("same > 1").isEmpty()
@@ -391,12 +466,30 @@ def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent:
         if last:
             break
 
-    degree = links.select(F.col("a").alias("fp")).union(links.select("b")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = reps.join(component.withColumnRenamed("id", "fp"), "fp", "left").join(degree, "fp", "left")
-    classes = scratch.put(
-        classes.select("fp", "rep", F.coalesce("component", "fp").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
-        "linked",
+    classes = reps.join(component.withColumnRenamed("id", "fp"), "fp", "left")
+    classes = scratch.put(classes.select("fp", "rep", "n", "size", F.coalesce("component", "fp").alias("component")), "linked")
+    per = classes.groupBy("component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")).where("k > 1")
+    held_links = links.join(classes.select(F.col("fp").alias("a"), "component"), "a").groupBy("component").agg(F.count(F.lit(1)).alias("m"))
+    some_open = per.join(held_links, "component").where("2 * m < k * (k - 1)").select(
+        "component", F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks")
     )
+    some_open = scratch.put(some_open, "open")
+    ends = links.select(F.col("a").alias("fp"), F.col("b").alias("other")).union(links.select("b", "a"))
+    ends = ends.join(classes.select("fp", "component"), "fp").join(bounded_broadcast(some_open, 24), "component", "left_anti")
+    ends = ends.join(classes.select(F.col("fp").alias("other"), "size"), "other")
+    degree = ends.groupBy("fp").agg(F.sum("size").alias("links"))
+    if not some_open.isEmpty():
+        members = classes.join(bounded_broadcast(some_open, 24), "component").select(
+            "fp", "component", "size", "blocks", F.pmod(F.xxhash64("fp"), "blocks").cast("int").alias("block")
+        )
+        sent = class_texts(members).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
+        sent = sent.select("component", F.least("block", "o").alias("low"), F.greatest("block", "o").alias("high"), "block", "fp", "size", "text")
+        at = ("component", "low", "high")
+        sent = sent.repartition(*at).sortWithinPartitions(*at)
+        counted = scratch.put(sent.mapInArrow(block_links(width, percent), "fp long, links long"), "block-links")
+        degree = degree.union(counted.groupBy("fp").agg(F.sum("links").alias("links")))
+    classes = classes.join(degree, "fp", "left").withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("size") - 1)
+    classes = scratch.put(classes.select("fp", "rep", "component", "n_links"), "counted")
     names = scratch.put(classes.groupBy("component").agg(F.min("rep").alias("name")), "names")
     classes = scratch.put(classes.join(names, "component").select("fp", "component", "name", "n_links"), "named")
     return info.join(classes, "fp", "left").select(
@@ -412,9 +505,8 @@ def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent:
 def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs (doc_id, text)``.
 
-    Two rows link if 100 * common >= percent * all of their shingle sets. ``n_links`` counts the verified
-    links of the row's class to other classes that the search needed, not those implied by the component. A
-    null or empty text, or one of blanks, has no set and links with nothing. A row of null doc_id links like
+    Two rows link if 100 * common >= percent * all of their shingle sets. ``n_links`` counts the
+    other rows that a row links with, exact copies and near ones. A null or empty text, or one of blanks, has no set and links with nothing. A row of null doc_id links like
     others but lends no id; its component_id is null if all its component's ids are. Repeated rows are copies.
     Rows of one id and different texts are judged each by its text; components of equal smallest id then bear
     the same component_id. An empty table gives an empty table; other columns are ignored.

@@ -108,6 +108,28 @@ def test_pipeline_near_copies_go_by_row(spark):
     assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(rows) - gone
 
 
+@pytest.mark.parametrize("k", [1, 40])
+def test_overlaps(k):
+    rng = np.random.default_rng(k)
+    sets = [[np.unique(rng.integers(0, m, rng.integers(1, 400))).astype(np.uint64) for _ in range(n)] for n, m in ((7 * k, 300), (5 * k, 9000))]
+    xs, ys = sets[0] + sets[1][:3], sets[1] + sets[0][:2]
+    assert jaccard_join.overlaps(xs, ys).tolist() == [[len(np.intersect1d(x, y)) for y in ys] for x in xs]
+
+
+def test_jaccard_links_are_all_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "RUN", 4)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 9)
+    texts = near_copies()
+    sets = []
+    for t in texts:
+        x = (t or "").encode().lower().split()
+        sets.append(frozenset(tuple(x[i : i + 4]) for i in range(max(1, len(x) - 3))) if x else frozenset())
+    linked = lambda a, b: bool(a & b) and 100 * len(a & b) >= 85 * len(a | b)
+    want = [sum(linked(a, b) for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)]
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_components(spark, frame(spark, texts), 4, 85).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def brute_removed(texts, window):
     raw = [(t or "").encode() for t in texts]
     seen = Counter(b[i : i + window] for b in raw for i in range(len(b) - window + 1))

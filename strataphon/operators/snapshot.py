@@ -6,12 +6,14 @@ is one shuffle of each side on the key; written snapshots bucketed by that key n
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import jsonb
+from ..session import scratch_dir
 
 
 def last_per_key(batch: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -40,31 +42,45 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], keep: Sequ
 
 
 def history_of(current: DataFrame, batch: DataFrame, keys: Sequence[str], documents: Sequence[str], at: Column) -> DataFrame:
-    """The current rows that ``batch`` changes in one of ``documents`` (compared as JSON values), with ``archived_at``."""
+    """The current rows that ``batch`` changes in one of ``documents`` (compared as JSON values), with ``archived_at``.
+
+    Texts that are equal as they stand are equal values; only others are parsed, each once.
+    """
     changed = None
     for c in documents:
-        one = jsonb.differs(F.col(f"old.{c}"), F.col(f"new.{c}"))
+        old, new = F.col(f"old.{c}"), F.col(f"new.{c}")
+        one = ~old.eqNullSafe(new) & jsonb.differs(old, new)
         changed = one if changed is None else changed | one
     on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
+    batch = batch.select(*dict.fromkeys([*keys, *documents]))
     joined = current.alias("old").join(batch.alias("new"), on).where(changed)
     return joined.select("old.*", at.alias("archived_at"))
 
 
 def with_new_ids(snapshot: DataFrame, id_column: str, order: Sequence[str]) -> DataFrame:
-    """Rows of null id get the next ids after the highest, in ``order``. Numbering runs by ranges, not in one task."""
+    """Rows of null id get the next ids after the highest, in ``order``; ties of ``order`` in any sequence.
+
+    New rows are sorted by ranges and written with their range and place, so that counting and numbering see the same
+    ranges; a range's offset, one row each, is joined to its rows.
+    """
+    spark, kind = snapshot.sparkSession, snapshot.schema[id_column].dataType
+    names = [f"c{k}" for k in range(len(snapshot.columns))]
+    at = dict(zip(snapshot.columns, names))
     old, new = snapshot.where(F.col(id_column).isNotNull()), snapshot.where(F.col(id_column).isNull())
-    top = old.agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
-    parts = new.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    parts = parts.withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-    sizes = {r[0]: r[1] for r in parts.groupBy("_part").count().collect()}  # a row a partition
-    starts, run = {}, top
-    for p in sorted(sizes):
-        starts[p], run = run, run + sizes[p]
-    if not starts:
-        return old
-    base = F.create_map(*[F.lit(x) for kv in starts.items() for x in kv])
-    numbered = parts.withColumn(id_column, (base[F.col("_part")] + F.col("_at") + 1).cast(old.schema[id_column].dataType))
-    return old.unionByName(numbered.select(*old.columns))
+    top = old.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long")).first()[0]
+    keys = [at[c] for c in order]
+    ranged = new.toDF(*names).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = ranged.withColumn("part", F.spark_partition_id())
+    ranged = ranged.withColumn("place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    path = f"{scratch_dir(spark)}/ids-{uuid.uuid4().hex[:12]}"
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row for each range
+    starts = counts.select("part", (F.coalesce(before, F.lit(0)) + top + 1).alias("start"))
+    number = (F.col("start") + F.col("place")).cast(kind)
+    numbered = rows.join(F.broadcast(starts), "part").withColumn(at[id_column], number)
+    return old.union(numbered.select(*names))
 
 
 def replay_dead_letters(current: DataFrame, letters: DataFrame, ok: Column, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -87,9 +103,11 @@ def unpivot(df: DataFrame, ids: Sequence[str], branches: dict[str, Column], name
 
 
 def dedup_by_content(df: DataFrame, content: str, order: Column, hash_name: str = "audio_hash") -> DataFrame:
-    """The first row of each content, by its md5."""
-    hashed = df.withColumn(hash_name, F.md5(F.col(content).cast("binary")))
-    return last_per_key(hashed, [hash_name], order)
+    """The first row of each content, by its md5: an aggregate that is made in part before the shuffle, so a content
+    that a large share of rows has doesn't meet in one task. Rows of null content are one group."""
+    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), order)
+    found = df.groupBy(F.md5(F.col(content).cast("binary")).alias(hash_name)).agg(row.alias("_row"))
+    return found.select("_row.*", hash_name)
 
 
 def recover_stale(states: DataFrame, message: str = "interrupted") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import telemetry as T
@@ -58,10 +57,7 @@ SELECT *, CASE WHEN finished < total THEN 'running' WHEN failed > 0 AND succeede
 def q_file_progress(spark, d):
     """Orders as files, lines as tracks."""
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_linestatus", "l_returnflag")
-    sized = lines.withColumn("n", F.lit(1))
-    w = Window.partitionBy("l_orderkey")
-    sized = sized.withColumn("n", F.count(F.lit(1)).over(w))
-    out = T.file_progress(sized, "l_orderkey", F.col("n"), F.col("l_linestatus") == "F", F.col("l_returnflag") != "R")
+    out = T.file_progress(lines, "l_orderkey", F.count(F.lit(1)), F.col("l_linestatus") == "F", F.col("l_returnflag") != "R")
     return out.withColumnRenamed("l_orderkey", "file")
 
 
@@ -87,9 +83,20 @@ def q_panel_reducers(spark, d):
 @query("""SELECT event_id, round(value - lag(value, 1, value) OVER (PARTITION BY event_type ORDER BY ts, event_id), 6) AS delta FROM events""")
 def q_delta(spark, d):
     """Change to the row before, the first one 0."""
-    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
-    delta = F.col("value") - F.lag("value").over(w)
-    return table(spark, d, "events").select("event_id", F.round(F.coalesce(delta, F.lit(0.0)), 6).alias("delta"))
+    rows = table(spark, d, "events").select("event_id", "event_type", "ts", "value")
+    rows = T.with_previous(rows, ["event_type"], "ts", "event_id", ["value"])
+    delta = F.col("value") - F.col("previous.value")
+    return rows.select("event_id", F.round(F.coalesce(delta, F.lit(0.0)), 6).alias("delta"))
+
+
+@query("""WITH s AS (SELECT event_type, epoch_us(ts) // 3600000000 AS h, epoch_us(ts) AS us, value, lag(value) OVER (PARTITION BY event_type, epoch_us(ts) // 3600000000 ORDER BY ts, event_id) AS b FROM events)
+SELECT event_type, h * 3600 AS step, count(*) AS samples, CASE WHEN max(us) > min(us) THEN round(sum(CASE WHEN b IS NULL THEN 0 WHEN value < b THEN value ELSE value - b END) / ((max(us) - min(us)) / 1e6::DOUBLE), 6) END AS rate
+FROM s GROUP BY event_type, h""")
+def q_range_rate(spark, d):
+    """Rate over each step of time; an hour here, since the events are sparse."""
+    rows = table(spark, d, "events").select("event_id", "event_type", "ts", "value")
+    out = T.range_rate(rows, ["event_type"], "ts", "event_id", "value", 3600)
+    return out.select("event_type", "step", "samples", F.round("rate", 6).alias("rate"))
 
 
 @query("""SELECT user_id, round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75 FROM events GROUP BY 1""")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,13 +66,29 @@ def state_gate(requests: DataFrame, keys: Sequence[str]) -> DataFrame:
     return requests.groupBy(*keys).applyInPandasWithState(step, out, "status string", "append", GroupStateTimeout.NoTimeout)
 
 
+def fold_ema(ema: float, values: np.ndarray, alpha: float = ALPHA) -> float:
+    """The moving average after ``values``; 0 counts as not set yet. Pieces of values are weighted sums."""
+    if not len(values):
+        return ema
+    if ema == 0:
+        some = np.flatnonzero(values)
+        if not len(some):
+            return 0.0
+        ema, values = float(values[some[0]]), values[some[0] + 1 :]
+    for start in range(0, len(values), 256):
+        part = values[start : start + 256]
+        weights = alpha * (1 - alpha) ** np.arange(len(part) - 1, -1, -1.0)
+        ema = float(ema * (1 - alpha) ** len(part) + part @ weights)
+    return ema
+
+
 def rolling_stats(events: DataFrame, key: str, seq: str, value: str, alpha: float = ALPHA) -> DataFrame:
     """Stream of ``key, n, last, ema`` after each batch; the state of a key is three numbers."""
 
     def step(k, frames, state: GroupState):
         n, last, ema = state.get if state.exists else (0, 0.0, 0.0)
-        for r in pd.concat(list(frames)).sort_values(seq)[value]:
-            n, last, ema = n + 1, float(r), float(r) if ema == 0 else alpha * float(r) + (1 - alpha) * ema
+        values = pd.concat([f[[seq, value]] for f in frames]).sort_values(seq)[value].to_numpy(dtype=float)
+        n, last, ema = n + len(values), float(values[-1]), fold_ema(ema, values, alpha)
         state.update((n, last, ema))
         yield pd.DataFrame([(k[0], n, last, ema)], columns=[key, "n", "last", "ema"])
 

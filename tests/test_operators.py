@@ -235,3 +235,53 @@ def test_expand(spark):
     tracks = spark.createDataFrame([("p", [(1, 0, 10), (2, 10, 20)])], "flacPath string, tracks array<struct<track:int,start:long,end:long>>")
     rows = sorted((r.flacPath, r.trackNumber, r.startSample, r.endSample) for r in pipeline.expand(tasks, tracks).collect())
     assert rows == [("p", 1, 0, 10), ("p", 2, 10, 20), ("q", 0, 0, 0)]
+
+
+def test_new_ids_under_adaptive_ranges(spark):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "24",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(40_000).selectExpr("id AS k", "IF(id % 4 = 0, id, NULL) AS id", "repeat(CAST(id AS STRING), 40) AS part")
+        out = snapshot.with_new_ids(rows.repartition(9), "id", ["k"]).toPandas()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    new = out[out.k % 4 != 0].sort_values("k")
+    assert out.columns.tolist() == ["k", "id", "part"] and (new.part == new.k.astype(str).map(lambda x: x * 40)).all()
+    assert new.id.tolist() == list(range(39_996 + 1, 39_996 + 1 + 30_000))
+
+
+def test_ema_with_zeros_and_blocks(spark):
+    values = [0.0, 0.0, 3.0, 1.0, 0.0, 0.0, 5.0, 2.0, 0.0, 7.0]
+    rows = [("a", f"2024-01-{1 + k // 2:02d} 0{k % 2}:00:00", k, v) for k, v in enumerate(values)] + [("b", "2024-01-01 00:00:00", 0, 0.0)]
+    df = spark.createDataFrame(rows, "k string, t string, i int, v double").withColumn("t", F.col("t").cast("timestamp"))
+    want = 0.0
+    for v in values:
+        want = v if want == 0 else 0.15 * v + 0.85 * want
+    got = {r.k: r.ema for r in telemetry.ema(df, ["k"], "t", "i", "v").collect()}
+    assert abs(got["a"] - want) < 1e-12 and got["b"] == 0.0
+
+
+def test_fold_ema():
+    from strataphon.streaming.pipeline import fold_ema
+
+    rng = np.random.default_rng(0)
+    values = np.where(rng.random(1000) < 0.2, 0, rng.random(1000))
+    want = 0.0
+    for v in values:
+        want = v if want == 0 else 0.15 * v + 0.85 * want
+    assert abs(fold_ema(fold_ema(0.0, values[:300]), values[300:]) - want) < 1e-9
+    assert fold_ema(0.0, np.zeros(3)) == 0.0 and fold_ema(0.5, np.zeros(0)) == 0.5
+
+
+def test_previous_row_across_blocks(spark):
+    rows = [("a", f"2024-01-0{d} 0{h}:00:00", 10 * d + h) for d in (1, 4, 5) for h in (1, 2)] + [("b", "2024-01-02 00:00:00", 7)]
+    df = spark.createDataFrame(rows, "k string, t string, v int").withColumn("t", F.col("t").cast("timestamp"))
+    got = {r.v: r.previous.v if r.previous else None for r in telemetry.with_previous(df, ["k"], "t", "v", ["v"]).collect()}
+    assert got == {11: None, 12: 11, 41: 12, 42: 41, 51: 42, 52: 51, 7: None}

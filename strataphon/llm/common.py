@@ -6,36 +6,39 @@ reaches, so a lost executor never loses an intermediate result.
 
 from __future__ import annotations
 
-import re
-import tempfile
+import ctypes
+import functools
+import gc
+import math
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
 #: A table is broadcast only when it was counted and its rows times this estimate stay under the bound.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of one Arrow batch on its way to Python, unless the session sets another bound.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where everything runs in a single local JVM."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    found = "file://" + tempfile.mkdtemp(prefix="strataphon-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes as well as by rows, so that a batch of long texts doesn't fill a worker."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 class Scratch:
     """Intermediate tables in the shared folder; they go with the application, or earlier through ``drop``."""
 
     def __init__(self, spark: SparkSession, tag: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+        bounded_batches(spark)
+        self.spark, self.root = spark, f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
         self.n, self.paths = 0, {}
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
@@ -49,6 +52,21 @@ class Scratch:
         self.paths[id(out)] = path
         return out
 
+    def deal(self, df: DataFrame, key: str, size: int, name: str) -> DataFrame:
+        """Write and reread ``df`` bucketed by ``key``, in buckets of about ``BUCKET_BYTES`` of its ``size`` bytes.
+
+        Joins and groups by ``key`` then move the other side only. The catalog's entry goes at once; the files stay.
+        """
+        self.n += 1
+        n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BUCKET_BYTES))
+        table = f"scratch_{uuid.uuid4().hex}"
+        out = df.repartition(n, key).write.option("path", f"{self.root}/{self.n:03d}-{name}").option("compression", "zstd")
+        out.format("parquet").bucketBy(n, key).saveAsTable(table)
+        found = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")
+        release(self.spark)
+        return found
+
     def drop(self, df: DataFrame) -> None:
         """Remove a table that no later plan reads."""
         if path := self.paths.pop(id(df), None):
@@ -56,6 +74,17 @@ class Scratch:
             at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Bytes of text in one bucket of a dealt table.
+BUCKET_BYTES = 16 << 20
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nobody holds any more; else they stay until the driver
+    happens to collect its garbage, which Spark itself forces every half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bounded_broadcast(
     df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, more_bytes: str | None = None
 ) -> DataFrame:
@@ -79,6 +108,62 @@ def held(owner: str, make: Callable[[], object]) -> object:
     return _HELD[owner]
 
 
+def lean(step: Callable, keep: bool = False) -> Callable:
+    """``step`` over Arrow batches; at the end of a task the worker gives back what it doesn't need, and, unless
+    ``keep``, what it held."""
+
+    @functools.wraps(step)
+    def run(batches):
+        try:
+            yield from step(batches)
+        finally:
+            if not keep:
+                _HELD.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return run
+
+
+def raw_texts(column: pa.Array) -> list[np.ndarray]:
+    """The UTF-8 bytes of each text, without copies; a null one is empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
+    at = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].tolist()
+    flat = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    valid = column.is_valid().to_pylist() if column.null_count else [True] * len(column)
+    return [flat[a:b] if ok else flat[:0] for a, b, ok in zip(at, at[1:], valid)]
+
+
+def linked_stars(a: np.ndarray, home_ids: np.ndarray, member_ids: np.ndarray) -> list[tuple[int, int]]:
+    """Edges from every linked vector of a tile to the smallest id of its component in the tile."""
+    out: list[tuple[int, int]] = []
+    rows, cols = a.any(axis=1), np.ones(a.shape[1], bool)
+    for i in np.flatnonzero(rows):
+        if not rows[i]:
+            continue
+        mine, theirs, front = [i], [], np.array([i])
+        rows[i] = False
+        while len(front):
+            new = np.flatnonzero(a[front].any(axis=0) & cols)
+            cols[new] = False
+            theirs += new.tolist()
+            front = np.flatnonzero(a[:, new].any(axis=1) & rows)
+            rows[front] = False
+            mine += front.tolist()
+        ids = np.unique(np.concatenate([home_ids[mine], member_ids[theirs]]))
+        out += [(int(v), int(ids[0])) for v in ids[1:]]
+    return out
+
+
 def pointer_rounds(spark: SparkSession, scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges (a, b)`` as ``(id, component)``, component the smallest id.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, pointer_rounds
+from .common import Scratch, linked_stars, pointer_rounds
 from .vectors import matrix
 
 THRESHOLD = 0.98
@@ -55,27 +55,6 @@ def cells_of(x: np.ndarray, centres: np.ndarray, reach: float) -> tuple[np.ndarr
     return home, near
 
 
-def linked_stars(a: np.ndarray, home_ids: np.ndarray, member_ids: np.ndarray) -> list[tuple[int, int]]:
-    """Edges from every linked vector of a tile to the smallest id of its component in the tile."""
-    out: list[tuple[int, int]] = []
-    rows, cols = a.any(axis=1), np.ones(a.shape[1], bool)
-    for i in np.flatnonzero(rows):
-        if not rows[i]:
-            continue
-        mine, theirs, front = [i], [], np.array([i])
-        rows[i] = False
-        while len(front):
-            new = np.flatnonzero(a[front].any(axis=0) & cols)
-            cols[new] = False
-            theirs += new.tolist()
-            front = np.flatnonzero(a[:, new].any(axis=1) & rows)
-            rows[front] = False
-            mine += front.tolist()
-        ids = np.unique(np.concatenate([home_ids[mine], member_ids[theirs]]))
-        out += [(int(v), int(ids[0])) for v in ids[1:]]
-    return out
-
-
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vectors (vec_id, embedding, label)``.
 

@@ -6,18 +6,19 @@ its place in the order.
 
 1. One pass makes each document's set size and fingerprint, and the sketch. Equal sets are one class.
 2. Candidates: two sets of Jaccard t share an n-gram among the first n - ceil(t n) + 1 of both. Those prefixes
-   are dealt by n-gram. Rows of one n-gram, sorted by set size, pair up if size and position allow t. An
-   n-gram with more than ``RUN`` rows pairs each row with ``NEIGHBOURS`` rows and the first one only, and its
-   rows are kept for step 5.
+   are dealt by n-gram; an n-gram whose sketch cell stands out by more than ``SPLIT_RUN`` is dealt in parts. Rows
+   of one n-gram are a run; its row of least fingerprint is its leader, and every other row is paired with it if size
+   and position allow t. In a run of up to ``RUN`` rows all other pairs are noted too; the rows of longer ones are
+   kept for step 5.
 3. Verification: the mass that two sets' hash histograms have in common bounds their overlap from above; pairs
    that it rules out go. The order is cut into fragments of equal mass. Each candidate's set is cut with it; overlaps
    are counted fragment by fragment, each on its own, and summed per pair. The sum is exact.
-4. Links go to connected components.
+4. Links go to connected components in rounds, so that almost no pair within a component is verified: first one
+   leader a row, then one pair for each two components, then what still joins different components.
 5. Rows of long runs: of a run whose members all lie in one component nothing is left to find. In others, rows
    meet in random buckets of about ``MEET``, pairs of different components are verified, components are renewed,
-   and so on. Once it is cheap (``CHEAP`` pairs a row), or after ``WAVES`` turns, each member outside its run's
-   largest component is paired with all members of other components. So almost no pair within a component is
-   enumerated, and no link between components is lost.
+   and so on, for ``WAVES`` turns or until few pairs are left (``CHEAP`` a row), which are all verified. Where more
+   are left, the run is dealt in blocks as in step 6.
 6. A class whose component holds a link between any two of its classes has its number of links from them. Components
    with other pairs left are dealt in blocks of about ``BLOCK_SETS`` sets or ``BLOCK_GRAMS`` n-grams; every two blocks
    meet in one task, which counts all their overlaps. The work is quadratic in such a component, the memory bounded.
@@ -33,18 +34,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_broadcast, pointer_rounds
+from .common import Scratch, bounded_broadcast, lean, linked_stars, pointer_rounds, raw_texts, release
 from .shingles import Shingler
 
 SKETCH_BITS, SKETCH_CHUNKS = 20, 64
 FRAGMENTS = 4
 #: Cells of the histogram whose common mass bounds an overlap from above.
 CELLS = 128
-RUN, NEIGHBOURS = 32, 2
+RUN = 32
 MEET, CHEAP, WAVES = 16, 32, 4
 SPLIT_RUN = 50_000
 SEEN = 200_000
-BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 19
+BLOCK_SETS, BLOCK_GRAMS = 1024, 1 << 19
 
 
 def as_long(x: np.ndarray) -> pa.Array:
@@ -58,8 +59,8 @@ def survey(width: int, bits: int):
         shingle, counts = Shingler(width), np.zeros(1 << bits, np.int32)
         for batch in batches:
             n, fp, cells = [], [], []
-            for text in batch.column(1):
-                s = shingle(text.as_py())
+            for text in raw_texts(batch.column(1)):
+                s = shingle(text)
                 n.append(len(s))
                 fp.append(xxhash.xxh3_64_intdigest(s.tobytes()) if len(s) else None)
                 cells.append((s >> np.uint64(64 - bits)).astype(np.int64))
@@ -98,6 +99,10 @@ class Order:
 
     def __init__(self, counts: np.ndarray, fragments: int):
         self.shift = np.uint64(64 - (len(counts).bit_length() - 1))
+        excess = counts - counts.mean()
+        hot = excess > max(SPLIT_RUN, 8 * np.sqrt(counts.mean()))
+        self.hot = np.sort(np.flatnonzero(hot))
+        self.parts = np.ceil(excess[self.hot] / SPLIT_RUN).astype(np.uint64)
         levels = np.clip(np.floor(8 * np.log2(counts + 1.0)), 0, 255).astype(np.uint64)
         self.levels = levels << np.uint64(56)
         mass = np.bincount(levels.astype(np.int64), weights=counts, minlength=256)
@@ -113,6 +118,16 @@ class Order:
         cells = (hashes >> self.shift).astype(np.int64)
         return np.sort(self.levels[cells] | (hashes >> np.uint64(8)))
 
+    def salts(self, tokens: np.ndarray, fp: int) -> np.ndarray:
+        """0 for n-grams that are dealt as one run, else the part, from 1, in which this set's row goes."""
+        out = np.zeros(len(tokens), np.int32)
+        if len(self.hot):
+            cells = ((tokens << np.uint64(8)) >> self.shift).astype(np.int64)  # a place keeps its hash's upper bits
+            at = np.minimum(np.searchsorted(self.hot, cells), len(self.hot) - 1)
+            is_hot = self.hot[at] == cells
+            out[is_hot] = 1 + (np.uint64(fp) % self.parts[at[is_hot]]).astype(np.int32)
+        return out
+
 
 def required(n, percent: int):
     """Smallest overlap of a set of size n with any set at Jaccard ``percent`` / 100."""
@@ -120,14 +135,14 @@ def required(n, percent: int):
 
 
 def prefixes(width: int, percent: int, shared):
-    """Documents -> rows (token, fp, size) of their prefixes; ``size`` holds set size and position."""
+    """Documents -> rows (token, salt, fp, size) of their prefixes; ``size`` holds set size and position."""
 
     def step(batches):
         shingle, order, seen = Shingler(width), shared.value, set()
         for batch in batches:
-            tokens, fps, sizes = [], [], []
-            for text in batch.column(1):
-                s = shingle(text.as_py())
+            tokens, salts, fps, sizes = [], [], [], []
+            for text in raw_texts(batch.column(1)):
+                s = shingle(text)
                 if not len(s):
                     continue
                 fp = xxhash.xxh3_64_intdigest(s.tobytes())
@@ -139,114 +154,120 @@ def prefixes(width: int, percent: int, shared):
                 n = len(s)
                 p = n - int(required(n, percent)) + 1
                 tokens.append(order(s)[:p])
+                salts.append(order.salts(tokens[-1], fp))
                 fps.append(np.full(p, fp, np.uint64))
                 sizes.append((np.int64(n) << 32) | np.arange(p))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [as_long(np.concatenate(tokens)), as_long(np.concatenate(fps)), pa.array(np.concatenate(sizes), pa.int64())],
-                    ["token", "fp", "size"],
+                    [as_long(np.concatenate(tokens)), pa.array(np.concatenate(salts)), as_long(np.concatenate(fps)), pa.array(np.concatenate(sizes), pa.int64())],
+                    ["token", "salt", "fp", "size"],
                 )
 
-    return step
+    return lean(step)
 
 
 def possible(na, ia, nb, ib, percent: int):
-    """Can sets of sizes na <= nb whose first common n-gram is at places ia, ib reach the threshold?"""
-    most = 1 + np.minimum(na - ia, nb - ib) - 1
-    return (100 * na >= percent * nb) & ((100 + percent) * most >= percent * (na + nb))
+    """Can sets of sizes na, nb whose first common n-gram is at places ia, ib reach the threshold?"""
+    most = np.minimum(na - ia, nb - ib)
+    return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & ((100 + percent) * most >= percent * (na + nb))
+
+
+STAR, ROW, PAIR = 0, 1, 2
 
 
 def pair_up(percent: int):
-    """Rows sorted by (token, size, fp) -> candidate pairs (kind 0) and rows of long runs (kind 1)."""
+    """Rows sorted by (token, salt, fp) -> (x, y): leaders and their rows (STAR), rows of long runs (ROW: token, fp and
+    size) and other pairs of short runs (PAIR)."""
+
+    def made(kind, x, y, size=None):
+        zero = np.zeros(len(x), np.int64) if size is None else size
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y), pa.array(zero)], ["kind", "x", "y", "size"]
+        )
 
-    def flush(token, fp, size, long_run: bool, lead: tuple | None):
-        """Complete runs, or a part of one long run whose first row was ``lead``."""
+    def flush(token, salt, fp, size, lead: tuple | None):
+        """Complete runs, or a further part of one long run that ``lead`` (fp, n, at) leads."""
         n, at = size >> 32, size & 0xFFFFFFFF
-        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        start = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])]))
         length = np.diff(np.concatenate([start, [len(token)]]))
         run, first = np.repeat(length, length), np.repeat(start, length)
-        is_long = (run > RUN) | long_run
-        out = []
-
-        def add(i, j):
+        is_long = (run > RUN) | (salt > 0) | (lead is not None)
+        here = np.arange(len(token))
+        if lead is None:
+            j = here[here != first]
+            i = first[j]
             ok = (fp[i] != fp[j]) & possible(n[i], at[i], n[j], at[j], percent)
-            out.append((fp[i][ok], fp[j][ok]))
-
+            x, y = fp[i][ok], fp[j][ok]
+        else:
+            ok = (fp != lead[0]) & possible(lead[1], lead[2], n, at, percent)
+            x, y = np.full(ok.sum(), lead[0]), fp[ok]
+        stars = np.unique(np.stack([x, y]), axis=1)
+        yield made(STAR, stars[0], stars[1])
+        rows = np.flatnonzero(is_long)
+        yield made(ROW, token[rows], fp[rows], size[rows])
+        others = []
         for d in range(1, RUN):
-            i = np.arange(len(token) - d)
-            i = i[(token[:-d] == token[d:]) & (~is_long[:-d] | (d <= NEIGHBOURS))] if len(token) > d else i[:0]
+            i = here[:-d] if d < len(here) else here[:0]
+            i = i[(first[i] == first[i + d]) & ~is_long[i] & (first[i] != i)] if len(i) else i
             if not len(i):
                 break
-            add(i, i + d)
-        j = np.flatnonzero(is_long)
-        if len(j):
-            if lead is None:
-                i = first[j]
-                keep = i != j
-                add(i[keep], j[keep])
-            else:
-                ok = (fp[j] != lead[0]) & possible(lead[1], lead[2], n[j], at[j], percent)
-                out.append((np.full(ok.sum(), lead[0]), fp[j][ok]))
-        a, b = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else ((), ())))
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        m, h = pairs.shape[1], len(j)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([np.zeros(m, np.int32), np.ones(h, np.int32)])),
-                pa.array(np.concatenate([pairs[0], token[j]])),
-                pa.array(np.concatenate([pairs[1], fp[j]])),
-                pa.array(np.concatenate([np.zeros(m, np.int64), size[j]])),
-            ],
-            ["kind", "x", "y", "size"],
-        )
+            ok = (fp[i] != fp[i + d]) & possible(n[i], at[i], n[i + d], at[i + d], percent)
+            others.append(np.stack([fp[i][ok], fp[i + d][ok]]))
+        if others:
+            pairs = np.unique(np.concatenate(others, axis=1), axis=1)
+            yield made(PAIR, pairs[0], pairs[1])
 
     def step(batches):
-        held, lead, lead_token = None, None, None
+        rest, lead, group = None, None, None  # the last run, not complete yet; the leader of a part of it that is done
         for batch in batches:
             cols = [c.to_numpy() for c in batch.columns]
-            if held is not None:
-                cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            token = cols[0]
+            if rest is not None:
+                cols = [np.concatenate([h, c]) for h, c in zip(rest, cols)]
+            token, salt = cols[0], cols[1]
             if not len(token):
                 continue
-            last = int(np.searchsorted(token, token[-1], "left"))
             done = 0
             if lead is not None:
-                done = int(np.searchsorted(token, lead_token, "right"))
+                same = (token == group[0]) & (salt == group[1])
+                done = len(token) if same.all() else int(np.argmin(same))
                 if done:
-                    yield flush(*[c[:done] for c in cols], True, lead)
+                    yield from flush(*[c[:done] for c in cols], lead)
                 if done < len(token):
                     lead = None
-            if last > done:
-                yield flush(*[c[done:last] for c in cols], False, None)
+            if done < len(token):
+                tail = (token == token[-1]) & (salt == salt[-1])
+                last = 0 if tail.all() else len(token) - int(np.argmin(tail[::-1]))
+                last = max(last, done)
+                if last > done:
+                    yield from flush(*[c[done:last] for c in cols], None)
                 done = last
-            held = [c[done:] for c in cols]
-            if len(held[0]) > SPLIT_RUN:  # a run too long to hold: go on from its first row
-                size = int(held[2][0])
-                yield flush(*held, True, None)
-                lead, lead_token = (held[1][0], size >> 32, size & 0xFFFFFFFF), held[0][0]
-                held = [c[:0] for c in held]
-            if not len(held[0]):
-                held = None
-        if held is not None:
-            yield flush(*held, lead is not None, lead)
+            rest = [c[done:] for c in cols]
+            if len(rest[0]) > SPLIT_RUN:  # a run too long to hold: go on from its first row
+                size = int(rest[3][0])
+                yield from flush(*rest, None)
+                lead, group = (rest[2][0], size >> 32, size & 0xFFFFFFFF), (rest[0][0], rest[1][0])
+                rest = None
+            elif not len(rest[0]):
+                rest = None
+        if rest is not None:
+            yield from flush(*rest, lead)
 
-    return step
+    return lean(step)
 
 
 def fragments(width: int, shared):
-    """Documents (fp, text) -> rows (fp, fragment, tokens): the set cut along the global order; ``cells``, in the row of
+    """Documents (fp, text) -> rows (fp, n, fragment, tokens): the set of ``n`` n-grams cut along the global order; ``cells``, in the row of
     fragment -1, counts the set's n-grams by hash and is empty for sets too large for it."""
 
     def step(batches):
         shingle, order = Shingler(width), shared.value
         for batch in batches:
-            ids, parts, tokens, cells = [], [], [], []
-            for fp, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                s = order(shingle(text.as_py()))
+            ids, ns, parts, tokens, cells = [], [], [], [], []
+            for fp, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
+                s = order(shingle(text))
                 count = np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
                 ids.append(fp)
+                ns.append(len(s))
                 parts.append(-1)
                 tokens.append(s[:0])
                 cells.append(count.tolist() if count.max() < 1 << 15 else [])
@@ -254,6 +275,7 @@ def fragments(width: int, shared):
                 for k in range(len(cuts) - 1):
                     if cuts[k] < cuts[k + 1]:
                         ids.append(fp)
+                        ns.append(len(s))
                         parts.append(k)
                         tokens.append(s[cuts[k] : cuts[k + 1]])
                         cells.append(None)
@@ -262,14 +284,15 @@ def fragments(width: int, shared):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
+                    pa.array(ns, pa.int64()),
                     pa.array(parts, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(sizes), as_long(flat)),
                     pa.array(cells, pa.list_(pa.int16())),
                 ],
-                ["fp", "fragment", "tokens", "cells"],
+                ["fp", "n", "fragment", "tokens", "cells"],
             )
 
-    return step
+    return lean(step)
 
 
 def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
@@ -309,7 +332,8 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
 
 
 def block_links(width: int, percent: int):
-    """Rows (component, low, high, block, fp, size, text) sorted by the first three -> (fp, links) of each two blocks."""
+    """Rows (grp, low, high, block, fp, size, text) sorted by the first three -> of each two blocks of a group, rows
+    (fp, links) with the numbers of links and rows (fp, to) that span the components."""
 
     def work(rows, low: int, high: int):
         own = [[r for r in rows if r[0] == k] for k in ((low,) if low == high else (low, high))]
@@ -322,177 +346,257 @@ def block_links(width: int, percent: int):
         linked = 100 * common >= percent * (n1[:, None] + n2[None, :] - common)
         if low == high:
             np.fill_diagonal(linked, False)
-        out = [([r[1] for r in x], linked @ np.array([r[2] for r in y], np.int64))]
+        f1, f2 = (np.array([r[1] for r in part], np.int64) for part in (x, y))
+        out = [(f1, linked @ np.array([r[2] for r in y], np.int64))]
         if low != high:
-            out.append(([r[1] for r in y], linked.T @ np.array([r[2] for r in x], np.int64)))
-        for fps, links in out:
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(links, pa.int64())], ["fp", "links"])
+            out.append((f2, linked.T @ np.array([r[2] for r in x], np.int64)))
+        fps, links = (np.concatenate(c) for c in zip(*out))
+        stars = np.array(linked_stars(linked, f1, f2), np.int64).reshape(-1, 2)
+        none = np.zeros(len(stars), np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([fps, stars[:, 0]])),
+                pa.array(np.concatenate([links, none])),
+                pa.array(np.concatenate([fps, stars[:, 1]]), mask=np.arange(len(fps) + len(stars)) < len(fps)),
+            ],
+            ["fp", "links", "to"],
+        )
 
     def step(batches):
         shingle, rows, group = Shingler(width), [], None
         for batch in batches:
-            for *key, block, fp, size, k in zip(*(c.to_pylist() for c in batch.columns[:6]), range(batch.num_rows)):
+            texts = raw_texts(batch.column(6))
+            for *key, block, fp, size, text in zip(*(c.to_pylist() for c in batch.columns[:6]), texts):
                 if key != group:
                     if rows:
                         yield from work(rows, *group[1:])
                     rows, group = [], key
-                rows.append((block, fp, size, shingle(batch.column(6)[k].as_py())))
+                rows.append((block, fp, size, shingle(text)))
         if rows:
             yield from work(rows, *group[1:])
 
-    return step
+    return lean(step)
 
 
-def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component, component_id, n_links`` of every row of ``docs (doc_id, text)``.
+class Join:
+    """One run of the join: its scratch tables, the classes with their texts, and what was verified so far."""
 
-    As ``jaccard_components``; ``doc_id`` and ``text_key``, the hash of the text, tell rows of one id apart.
-    ``component`` names the component by a set's fingerprint, whoever shares its ids, and is null without a set.
-    """
-    scratch = Scratch(spark, "jaccard")
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    made = scratch.put(
-        docs.mapInArrow(survey(width, SKETCH_BITS), "doc_id long, text_key long, n long, fp long, chunk int, counts binary"),
-        "survey",
-    )
-    info = made.where("n is not null").select("doc_id", "text_key", "n", "fp")
-    counts = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), np.int64)
-    chunks = made.where("chunk is not null").select("chunk", "counts").repartition("chunk")
-    for row in chunks.mapInArrow(add_chunks, "chunk int, counts binary").collect():  # SKETCH_CHUNKS rows
-        counts[row.chunk] = np.frombuffer(row.counts, np.int64)
-    shared = spark.sparkContext.broadcast(Order(counts.ravel(), FRAGMENTS))
-
-    keys = docs.mapInArrow(prefixes(width, percent, shared), "token long, fp long, size long")
-    keys = keys.repartition("token").sortWithinPartitions("token", "size", "fp")
-    found = scratch.put(keys.mapInArrow(pair_up(percent), "kind int, x long, y long, size long"), "candidates")
-    rows = info.where("fp is not null").groupBy("fp", "doc_id", "text_key", "n").agg(F.count(F.lit(1)).alias("same"))
-    text = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "same")).alias("at")
-    reps = rows.groupBy("fp").agg(text, F.first("n").alias("n"), F.sum("same").alias("size")).select(
-        "fp", "size", F.col("at.doc_id").alias("rep"), F.col("at.text_key").alias("rep_key"), F.col("at.same").alias("same"), "n"
-    )
-    reps = scratch.put(reps, "classes")
-    some_repeat = not reps.where("same > 1").isEmpty()
-
-    def class_texts(nodes: DataFrame) -> DataFrame:
-        """``nodes``, one row a class, with the class's ``text``: one, though its row may be repeated."""
-        ids = nodes.join(reps.select("fp", "rep", "rep_key", "same"), "fp")
-        ids = scratch.put(ids, "nodes")
-        at = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key"))
-        texts = docs.join(bounded_broadcast(ids, 64), at).select("text", "same", *nodes.columns)
-        if some_repeat:
+    def __init__(self, spark: SparkSession, docs: DataFrame, width: int, percent: int):
+        self.spark, self.width, self.percent = spark, width, percent
+        self.scratch = Scratch(spark, "jaccard")
+        self.docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+
+    def survey(self) -> None:
+        """``info`` (doc_id, text_key, n, fp) of every row, ``classes`` (fp, n, size and the row that stands for it) and
+        the order of n-grams."""
+        made = self.docs.mapInArrow(
+            survey(self.width, SKETCH_BITS), "doc_id long, text_key long, n long, fp long, chunk int, counts binary"
+        )
+        made = self.scratch.put(made, "survey")
+        self.info = made.where("n is not null").select("doc_id", "text_key", "n", "fp")
+        counts = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), np.int64)
+        chunks = made.where("chunk is not null").select("chunk", "counts").repartition("chunk")
+        for row in chunks.mapInArrow(add_chunks, "chunk int, counts binary").collect():  # SKETCH_CHUNKS rows
+            counts[row.chunk] = np.frombuffer(row.counts, np.int64)
+        self.order = self.spark.sparkContext.broadcast(Order(counts.ravel(), FRAGMENTS))
+        rows = self.info.where("fp is not null").groupBy("fp", "doc_id", "text_key", "n").agg(F.count(F.lit(1)).alias("same"))
+        at = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "same")).alias("at")
+        classes = rows.groupBy("fp").agg(at, F.first("n").alias("n"), F.sum("same").alias("size")).select(
+            "fp", "size", F.col("at.doc_id").alias("rep"), F.col("at.text_key").alias("rep_key"), F.col("at.same").alias("same"), "n"
+        )
+        self.classes = self.scratch.put(classes, "classes")
+
+    def candidates(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(pairs of leaders and rows, all pairs, rows of long runs); ``texts`` of the classes that occur in them."""
+        keys = self.docs.mapInArrow(prefixes(self.width, self.percent, self.order), "token long, salt int, fp long, size long")
+        keys = keys.repartition("token", "salt").sortWithinPartitions("token", "salt", "fp")
+        found = self.scratch.put(keys.mapInArrow(pair_up(self.percent), "kind int, x long, y long, size long"), "candidates")
+        pairs = found.where(F.col("kind") != ROW).groupBy(F.col("x").alias("a"), F.col("y").alias("b"))
+        pairs = self.scratch.put(pairs.agg(F.min("kind").alias("kind")), "pairs")  # x < y throughout
+        runs = found.where(F.col("kind") == ROW).select(F.col("x").alias("token"), F.col("y").alias("fp"), "size").distinct()
+        runs = self.scratch.put(runs, "runs")
+        ids = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(runs.select("fp")).distinct()
+        ids = self.scratch.put(ids.join(self.classes, "fp"), "nodes")
+        here = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key"))
+        texts = self.docs.join(bounded_broadcast(ids, 64), here).select("fp", "n", "size", "same", "text")
+        if not ids.where("same > 1").isEmpty():  # the row that stands for a class may be repeated itself
             texts = texts.where("same = 1").union(texts.where("same > 1").dropDuplicates(["fp"]))
-        return texts.select(*nodes.columns, "text")
+        bytes_ = ids.agg(F.sum("n")).first()[0] or 0
+        self.texts = self.scratch.deal(texts.drop("same"), "fp", 8 * bytes_, "texts")
+        return pairs.where(F.col("kind") == STAR).select("a", "b"), pairs.select("a", "b"), runs
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of fingerprints that reach the threshold."""
+        percent, put = self.percent, self.scratch.put
         nodes = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-        texts = class_texts(nodes)
-        sets = scratch.put(
-            texts.mapInArrow(fragments(width, shared), "fp long, fragment int, tokens array<long>, cells array<smallint>"),
-            "fragments",
+        texts = self.texts.join(nodes, "fp")
+        sets = texts.select("fp", "text").mapInArrow(
+            fragments(self.width, self.order), "fp long, n long, fragment int, tokens array<long>, cells array<smallint>"
         )
-        size = reps.select("fp", "n")
-        bound = sets.where("fragment = -1").join(size, "fp")
-        bound = scratch.put(bound.select("fp", "n", "cells"), "cells")
+        sets = put(sets, "fragments")
+        bound = sets.where("fragment = -1")
         left = bound.select(F.col("fp").alias("a"), F.col("n").alias("n1"), F.col("cells").alias("c1"))
         right = bound.select(F.col("fp").alias("b"), F.col("n").alias("n2"), F.col("cells").alias("c2"))
         most = F.aggregate(F.zip_with("c1", "c2", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda t, x: t + x)
         may = (F.size("c1") == 0) | (F.size("c2") == 0) | ((100 + percent) * most >= percent * (F.col("n1") + F.col("n2")))
-        pairs = scratch.put(pairs.join(left, "a").join(right, "b").where(may).select("a", "b"), "possible")
+        pairs = pairs.join(left, "a").join(right, "b").where(may).select("a", "b", (F.col("n1") + F.col("n2")).alias("both"))
+        pairs = put(pairs, "possible")
         sets = sets.where("fragment >= 0")
         one = sets.select(F.col("fp").alias("a"), "fragment", F.col("tokens").alias("ta"))
         two = sets.select(F.col("fp").alias("b"), "fragment", F.col("tokens").alias("tb"))
         partial = pairs.join(one, "a").join(two, ["b", "fragment"])
-        partial = partial.select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"))
-        total = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
-        na = reps.select(F.col("fp").alias("a"), F.col("n").alias("na"))
-        nb = reps.select(F.col("fp").alias("b"), F.col("n").alias("nb"))
-        reach = F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common"))
-        links = scratch.put(total.join(na, "a").join(nb, "b").where(reach).select("a", "b"), "links")
-        return links
-
-    pairs = scratch.put(
-        found.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs"
-    )
-    links = verified(pairs)
-    component = pointer_rounds(spark, scratch, links)
-
-    base = found.where("kind = 1").select(F.col("x").alias("token"), F.col("y").alias("fp"), "size").distinct()
-    base = scratch.put(base, "base-runs")
-    n1, n2 = F.shiftright("size", 32), F.shiftright("s2", 32)
-    rest = F.least(n1 - F.col("size").bitwiseAND(0xFFFFFFFF), n2 - F.col("s2").bitwiseAND(0xFFFFFFFF))
-    can = (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * rest >= percent * (n1 + n2))
-    for wave in range(WAVES):
-        named = component.select(F.col("id").alias("fp"), "component")
-        runs = base.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        runs = scratch.put(runs, "runs")
-        sizes = runs.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
+        partial = partial.select("a", "b", "both", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"))
+        total = partial.groupBy("a", "b", "both").agg(F.sum("common").alias("common"))
+        return put(total.where(F.col("common") * (100 + percent) >= percent * F.col("both")).select("a", "b"), "links")
+
+    def blocks(self, members: DataFrame, sizes: DataFrame) -> DataFrame:
+        """All links within groups, by pairs of blocks: ``fp, links`` and ``fp, to`` rows. ``members`` (grp, fp)."""
+        blocks = F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("grams") / BLOCK_GRAMS)).cast("int")
+        sizes = sizes.select("grp", blocks.alias("blocks"))
+        sent = self.texts.join(members.join(sizes, "grp"), "fp").select(
+            "grp", "fp", "size", "text", "blocks", F.pmod(F.xxhash64("fp"), "blocks").cast("int").alias("block")
+        )
+        sent = sent.withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
+        at = ("grp", "low", "high")
+        sent = sent.select(F.least("block", "o").alias("low"), F.greatest("block", "o").alias("high"), "grp", "block", "fp", "size", "text")
+        sent = sent.select(*at, "block", "fp", "size", "text").repartition(*at).sortWithinPartitions(*at)
+        return self.scratch.put(sent.mapInArrow(block_links(self.width, self.percent), "fp long, links long, to long"), "blocks")
+
+    def renamed(self, named: DataFrame | None, links: DataFrame) -> DataFrame:
+        """``fp, component`` of every class in a link, after ``links`` joined those of ``named``."""
+        if named is None:
+            return pointer_rounds(self.spark, self.scratch, links).toDF("fp", "component")
+        ends = self.across(links, named).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        moved = pointer_rounds(self.spark, self.scratch, ends).toDF("old", "component")
+        kept = named.withColumnRenamed("component", "old").join(moved, "old", "left")
+        fresh = moved.join(named.select(F.col("component").alias("old")).distinct(), "old", "left_anti")
+        out = kept.select("fp", F.coalesce("component", "old").alias("component"))
+        return self.scratch.put(out.union(fresh.select(F.col("old").alias("fp"), "component")), "named")
+
+    def across(self, pairs: DataFrame, named: DataFrame) -> DataFrame:
+        """The ``pairs`` (a, b) of different components, with ``ca`` and ``cb``."""
+        out = pairs
+        for end in ("a", "b"):
+            out = out.join(named.select(F.col("fp").alias(end), F.col("component").alias("c" + end)), end, "left")
+            out = out.withColumn("c" + end, F.coalesce("c" + end, end))
+        return out.where("ca <> cb").select("a", "b", "ca", "cb")
+
+    def link(self) -> None:
+        """``links``, a subset of all links that joins what any links join, and ``named``."""
+        stars, pairs, runs = self.candidates()
+        put = self.scratch.put
+        first = put(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "leaders")
+        links = self.verified(first)
+        named = self.renamed(None, links)
+        rest = put(self.across(pairs.join(first, ["a", "b"], "left_anti"), named), "across")
+        low, high = F.least("ca", "cb"), F.greatest("ca", "cb")
+        some = rest.groupBy(low, high).agg(F.min(F.struct(F.xxhash64("a", "b").alias("h"), "a", "b")).alias("p"))
+        some = put(some.select("p.a", "p.b"), "one-each")
+        for chosen in (some, None):
+            if chosen is None:
+                chosen = rest.select("a", "b").join(some, ["a", "b"], "left_anti")
+                chosen = put(self.across(chosen, named).select("a", "b"), "others")
+            if not chosen.isEmpty():
+                more = self.verified(chosen)
+                links, named = links.union(more), self.renamed(named, more)
+        release(self.spark)
+        tried = pairs
+        for wave in range(WAVES + 1):
+            mixed, rows, cross = self.mixed(runs, named)
+            if not rows:
+                break
+            if cross > CHEAP * rows and wave == WAVES:
+                sizes = mixed.join(self.classes.select("fp", "n"), "fp").groupBy(F.col("token").alias("grp"))
+                sizes = put(sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")), "run-sizes")
+                spans = self.blocks(mixed.select(F.col("token").alias("grp"), "fp"), sizes).where("to is not null")
+                more = put(spans.select(F.least("fp", "to").alias("a"), F.greatest("fp", "to").alias("b")).distinct(), "spans")
+                named = self.renamed(named, more)  # edges span components and need not be links
+                break
+            last = cross <= CHEAP * rows
+            more = self.met(mixed, wave, last).join(tried, ["a", "b"], "left_anti")
+            more = put(more, "met")
+            if not more.isEmpty():
+                tried = tried.union(more)
+                more = self.verified(more)
+                links, named = links.union(more), self.renamed(named, more)
+            if last:
+                break
+        self.links, self.named = put(links.distinct(), "all-links"), named
+
+    def mixed(self, runs: DataFrame, named: DataFrame) -> tuple[DataFrame, int, int]:
+        """(rows of runs with several components, their number, the number of pairs across the largest one)."""
+        rows = runs.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        rows = self.scratch.put(rows, "run-rows")
+        sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
         stats = sizes.groupBy("token").agg(
             F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows")
         )
-        stats = scratch.put(
-            stats.where("k > 1").select(
-                "token",
-                F.col("top.component").alias("most"),
-                "rows",
-                (F.col("rows") * (F.col("rows") - F.col("top.n"))).alias("cross"),
-                F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("rows") / MEET)))).cast("long").alias("buckets"),
-            ),
-            "mixed",
+        stats = stats.where("k > 1").select(
+            "token",
+            F.col("top.component").alias("most"),
+            "rows",
+            (F.col("rows") * (F.col("rows") - F.col("top.n"))).alias("cross"),
+            F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("rows") / MEET)))).cast("long").alias("buckets"),
         )
-        rows, cross = stats.agg(F.sum("rows"), F.sum("cross")).first()
-        if not rows:
-            break
-        last = cross <= CHEAP * rows or wave == WAVES - 1
-        mixed = runs.join(stats.drop("rows", "cross"), "token")
+        stats = self.scratch.put(stats, "mixed")
+        n, cross = stats.agg(F.sum("rows"), F.sum("cross")).first()
+        return rows.join(stats.drop("rows", "cross"), "token"), n or 0, cross or 0
+
+    def met(self, mixed: DataFrame, wave: int, last: bool) -> DataFrame:
+        """Pairs (a, b) of different components that meet in a run: some by chance, or, at ``last``, all."""
+        percent = self.percent
         if not last:  # one run of each row: that of least hash, which like rows have in common
-            one_run = F.struct(F.xxhash64("token", F.lit(wave)).alias("h"), "token", "size", "component", "most", "buckets")
-            mixed = mixed.groupBy("fp").agg(F.min(one_run).alias("r")).select("fp", "r.token", "r.size", "r.component", "r.most", "r.buckets")
+            one = F.struct(F.xxhash64("token", F.lit(wave)).alias("h"), "token", "size", "component", "most", "buckets")
+            mixed = mixed.groupBy("fp").agg(F.min(one).alias("r")).select("fp", "r.token", "r.size", "r.component", "r.most", "r.buckets")
         mixed = mixed.withColumn("bucket", F.pmod(F.xxhash64("fp", F.lit(wave)), "buckets") if not last else F.lit(0).cast("long"))
-        mixed = scratch.put(mixed.drop("buckets"), "mixed-rows")
+        mixed = self.scratch.put(mixed.drop("buckets"), "mixed-rows")
         other = mixed.where("component <> most") if last else mixed
         other = other.select(
             "token", "bucket", F.col("fp").alias("f2"), F.col("size").alias("s2"), F.col("component").alias("c2")
         )
-        met = mixed.join(other, ["token", "bucket"]).where((F.col("component") != F.col("c2")) & can)
+        n1, n2 = F.shiftright("size", 32), F.shiftright("s2", 32)
+        rest = F.least(n1 - F.col("size").bitwiseAND(0xFFFFFFFF), n2 - F.col("s2").bitwiseAND(0xFFFFFFFF))
+        can = (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * rest >= percent * (n1 + n2))
+        out = mixed.join(other, ["token", "bucket"]).where((F.col("component") != F.col("c2")) & can)
         if not last:
-            met = met.where("fp < f2")
-        more = met.select(F.least("fp", "f2").alias("a"), F.greatest("fp", "f2").alias("b")).distinct()
-        more = scratch.put(more.join(pairs, ["a", "b"], "left_anti"), "crossed")
-        if not more.isEmpty():
-            links = links.union(verified(more))
-            pairs = pairs.union(more)
-        component = pointer_rounds(spark, scratch, links)
-        if last:
-            break
-
-    classes = reps.join(component.withColumnRenamed("id", "fp"), "fp", "left")
-    classes = scratch.put(classes.select("fp", "rep", "n", "size", F.coalesce("component", "fp").alias("component")), "linked")
-    per = classes.groupBy("component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")).where("k > 1")
-    held_links = links.join(classes.select(F.col("fp").alias("a"), "component"), "a").groupBy("component").agg(F.count(F.lit(1)).alias("m"))
-    some_open = per.join(held_links, "component").where("2 * m < k * (k - 1)").select(
-        "component", F.ceil(F.greatest(F.col("k") / BLOCK_SETS, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks")
-    )
-    some_open = scratch.put(some_open, "open")
-    ends = links.select(F.col("a").alias("fp"), F.col("b").alias("other")).union(links.select("b", "a"))
-    ends = ends.join(classes.select("fp", "component"), "fp").join(bounded_broadcast(some_open, 24), "component", "left_anti")
-    ends = ends.join(classes.select(F.col("fp").alias("other"), "size"), "other")
-    degree = ends.groupBy("fp").agg(F.sum("size").alias("links"))
-    if not some_open.isEmpty():
-        members = classes.join(bounded_broadcast(some_open, 24), "component").select(
-            "fp", "component", "size", "blocks", F.pmod(F.xxhash64("fp"), "blocks").cast("int").alias("block")
-        )
-        sent = class_texts(members).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
-        sent = sent.select("component", F.least("block", "o").alias("low"), F.greatest("block", "o").alias("high"), "block", "fp", "size", "text")
-        at = ("component", "low", "high")
-        sent = sent.repartition(*at).sortWithinPartitions(*at)
-        counted = scratch.put(sent.mapInArrow(block_links(width, percent), "fp long, links long"), "block-links")
-        degree = degree.union(counted.groupBy("fp").agg(F.sum("links").alias("links")))
-    classes = classes.join(degree, "fp", "left").withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("size") - 1)
-    classes = scratch.put(classes.select("fp", "rep", "component", "n_links"), "counted")
-    names = scratch.put(classes.groupBy("component").agg(F.min("rep").alias("name")), "names")
-    classes = scratch.put(classes.join(names, "component").select("fp", "component", "name", "n_links"), "named")
-    return info.join(classes, "fp", "left").select(
+            out = out.where("fp < f2")
+        return out.select(F.least("fp", "f2").alias("a"), F.greatest("fp", "f2").alias("b")).distinct()
+
+    def counted(self) -> DataFrame:
+        """``fp, rep, component, n_links`` of every class."""
+        put = self.scratch.put
+        classes = self.classes.join(self.named, "fp", "left")
+        classes = put(classes.select("fp", "rep", "n", "size", F.coalesce("component", "fp").alias("component")), "linked")
+        per = classes.groupBy("component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")).where("k > 1")
+        held = self.links.join(classes.select(F.col("fp").alias("a"), "component"), "a").groupBy("component").agg(F.count(F.lit(1)).alias("m"))
+        some = per.join(held, "component", "left").where("2 * coalesce(m, 0) < k * (k - 1)").select(F.col("component").alias("grp"), "k", "grams")
+        some = put(some, "open")
+        ends = self.links.select(F.col("a").alias("fp"), F.col("b").alias("other")).union(self.links.select("b", "a"))
+        ends = ends.join(classes.select("fp", "component"), "fp")
+        ends = ends.join(some.select(F.col("grp").alias("component")), "component", "left_anti")
+        ends = ends.join(classes.select(F.col("fp").alias("other"), "size"), "other")
+        degree = ends.groupBy("fp").agg(F.sum("size").alias("links"))
+        if not some.isEmpty():
+            members = classes.select(F.col("component").alias("grp"), "fp").join(some.select("grp"), "grp")
+            found = self.blocks(members, some).where("to is null")
+            degree = degree.union(found.groupBy("fp").agg(F.sum("links").alias("links")))
+        classes = classes.join(degree, "fp", "left").withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("size") - 1)
+        return put(classes.select("fp", "rep", "component", "n_links"), "counted")
+
+
+def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component, component_id, n_links`` of every row of ``docs (doc_id, text)``.
+
+    As ``jaccard_components``; ``doc_id`` and ``text_key``, the hash of the text, tell rows of one id apart.
+    ``component`` names the component by a set's fingerprint, whoever shares its ids, and is null without a set.
+    """
+    join = Join(spark, docs, width, percent)
+    join.survey()
+    join.link()
+    classes = join.counted()
+    names = classes.groupBy("component").agg(F.min("rep").alias("name"))
+    classes = join.scratch.put(classes.join(names, "component").select("fp", "component", "name", "n_links"), "named")
+    return join.info.join(classes, "fp", "left").select(
         "doc_id",
         "text_key",
         F.col("n").alias("n_shingles"),

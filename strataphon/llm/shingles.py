@@ -37,8 +37,9 @@ class Shingler:
     def __init__(self, width: int):
         self.width, self.words = width, held("shingles", WordHashes)
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8").lower().split()
+    def __call__(self, text: np.ndarray) -> np.ndarray:
+        """``text`` as its UTF-8 bytes."""
+        words = text.tobytes().lower().split()
         if not words:
             return np.zeros(0, np.uint64)
         ids = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))

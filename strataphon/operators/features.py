@@ -1,8 +1,7 @@
 """Feature extraction per (track, stem): a registry of extractors and one Arrow pass over waveforms.
 
 All extractors of a row share one ``Signal``, so its spectrogram, mel bands and onset envelope are computed once.
-Only the asked families run. One waveform is one row; batches are kept small by ``rows_per_batch`` so that memory
-holds few of them.
+Only the asked families run. One waveform is one row; batches are bounded by bytes, so memory holds few of them.
 """
 
 from __future__ import annotations
@@ -11,12 +10,13 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dsp
+from ..session import bounded_batches
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,10 @@ for _priority, (_name, _function, _on) in enumerate(
     register(_name, 10 * (_priority + 1), _on)(_function)
 
 
+#: Rows that go out at once.
+ROWS = 64
+
+
 def widened(df: DataFrame, columns: list[str], ddl: str) -> T.StructType:
     """Schema of some columns and of new ones."""
     return T.StructType([*df.select(*columns).schema.fields, *T.StructType.fromDDL(ddl).fields])
@@ -104,26 +108,55 @@ def clean(value):
     return value.item() if isinstance(value, np.generic) else value
 
 
+def waves(column: pa.Array) -> list[np.ndarray | None]:
+    """Each row's samples, without copies; None for a null or empty one."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    at, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    return [flat[i:j] if ok and i < j else None for i, j, ok in zip(at, at[1:], valid)]
+
+
+def mapped(df: DataFrame, column: str, make: Callable, ddl: str, types: list[pa.DataType], more: list[str] = ()) -> DataFrame:
+    """``df`` without ``column``, a list of samples, and with new columns ``ddl``: ``make(samples, *more values)`` gives the
+    rows, tuples of them, for one row. Batches are bounded by bytes, and rows go out as soon as ``ROWS`` are made."""
+    bounded_batches(df.sparkSession)
+    rest = [c for c in df.columns if c != column]
+    schema = widened(df, rest, ddl)
+    df = df.select(*rest, column)
+
+    def step(batches):
+        for batch in batches:
+            others = [batch.column(rest.index(c)).to_pylist() for c in more]
+            made, source = [], []
+            for k, y in enumerate(waves(batch.column(len(rest)))):
+                for row in make(y, *(c[k] for c in others)):
+                    made.append(row)
+                    source.append(k)
+                if len(made) >= ROWS or (k + 1 == batch.num_rows and made):
+                    kept = batch.select(rest).take(pa.array(source, pa.int64()))
+                    new = [pa.array([r[j] for r in made], t) for j, t in enumerate(types)]
+                    yield pa.RecordBatch.from_arrays([*kept.columns, *new], schema.names)
+                    made, source = [], []
+
+    return df.mapInArrow(step, schema)
+
+
 def extract(df: DataFrame, switches: dict[str, bool] | None = None, samples: str = "y", rate: str = "sr", stem: str = "stem") -> DataFrame:
     """``df`` without its waveform, with ``scalars map<string,double>`` and ``sequences map<string,array<double>>``.
 
     A null or empty waveform has empty maps. Booleans are 0 or 1.
     """
     chosen = product([p.extractor for p in plugins(switches)])
-    rest = [c for c in df.columns if c != samples]
-    schema = widened(df, rest, "scalars map<string,double>, sequences map<string,array<double>>")
 
-    def step(frames):
-        for frame in frames:
-            scalars, sequences = [], []
-            for y, sr, name in zip(frame[samples], frame[rate], frame[stem]):
-                found = chosen.run(dsp.Signal(np.asarray(y, np.float32), int(sr), name)) if y is not None and len(y) else {}
-                found = {k: clean(v) for k, v in found.items()}
-                scalars.append({k: None if v is None else float(v) for k, v in found.items() if not isinstance(v, list)})
-                sequences.append({k: v for k, v in found.items() if isinstance(v, list) and v})
-            yield frame[rest].assign(scalars=scalars, sequences=sequences)
+    def make(y, sr, name):
+        found = chosen.run(dsp.Signal(np.asarray(y, np.float32), int(sr), name)) if y is not None else {}
+        found = {k: clean(v) for k, v in found.items()}
+        scalars = [(k, None if v is None else float(v)) for k, v in found.items() if not isinstance(v, list)]
+        yield scalars, [(k, v) for k, v in found.items() if isinstance(v, list) and v]
 
-    return df.mapInPandas(step, schema)
+    types = [pa.map_(pa.string(), pa.float64()), pa.map_(pa.string(), pa.list_(pa.float64()))]
+    return mapped(df, samples, make, "scalars map<string,double>, sequences map<string,array<double>>", types, [rate, stem])
 
 
 def document(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -144,17 +177,13 @@ def band_stems(y: np.ndarray, sr: int) -> dict[str, np.ndarray]:
 
 
 def separate(df: DataFrame, model: Callable[[np.ndarray, int], dict[str, np.ndarray]] = band_stems) -> DataFrame:
-    """(keys..., sr, y) -> one row a stem. ``model`` is pluggable; a failing track fails the job."""
-    rest = [c for c in df.columns if c != "y"]
-
-    def step(frames):
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                stems = model(np.asarray(row.y, np.float32), int(row.sr))
-                base = {c: getattr(row, c) for c in rest}
-                yield pd.DataFrame([base | {"stem": n, "y": y} for n, y in stems.items()])
+    """(keys..., sr, y) -> one row a stem, none for a null or empty waveform. ``model`` is pluggable; a failing track fails
+    the job."""
+    def make(y, sr):
+        for name, part in model(np.asarray(y, np.float32), int(sr)).items() if y is not None else ():
+            yield name, np.asarray(part, np.float32)
 
-    return df.select(*rest, "y").mapInPandas(step, widened(df, rest, "stem string, y array<float>"))
+    return mapped(df, "y", make, "stem string, y array<float>", [pa.string(), pa.list_(pa.float32())], ["sr"])
 
 
 def classify(df: DataFrame, classes: dict[str, list[str]], model: Callable[[np.ndarray, str], np.ndarray] | None = None) -> DataFrame:
@@ -170,16 +199,11 @@ def classify(df: DataFrame, classes: dict[str, list[str]], model: Callable[[np.n
         return e / e.sum()
 
     head = model or stub
-    rest = [c for c in df.columns if c != "y"]
-
-    def step(frames):
-        for frame in frames:
-            out = []
-            for y, sr in zip(frame["y"], frame["sr"]):
-                patch = dsp.log_mel_patches(np.asarray(y, float), int(sr)).mean(axis=(0, 1))
-                out.append({f"{n}_{c}".lower(): float(p) for n, cs in classes.items() for c, p in zip(cs, head(patch, n))})
-            yield frame[rest].assign(predictions=out)
-
-    return df.mapInPandas(step, widened(df, rest, "predictions map<string,double>"))
-
-
+    def make(y, sr):
+        if y is None:
+            yield ([],)
+            return
+        patch = dsp.log_mel_patches(np.asarray(y, float), int(sr)).mean(axis=(0, 1))
+        yield ([(f"{n}_{c}".lower(), float(p)) for n, cs in classes.items() for c, p in zip(cs, head(patch, n))],)
+
+    return mapped(df, "y", make, "predictions map<string,double>", [pa.map_(pa.string(), pa.float64())], ["sr"])

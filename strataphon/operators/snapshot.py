@@ -141,3 +141,36 @@ def migration_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], col
     new = after.select(*keys, F.col(column).alias("after"))
     joined = before.select(*keys, F.col(column).alias("before")).join(new, list(keys))
     return joined.where(~F.col("before").eqNullSafe(F.col("after")))
+
+
+def migrate_states(states: DataFrame, keys: Sequence[str], added: dict[str, Column], order: Column) -> DataFrame:
+    """State rows under a wider key: a missing column is added, and of rows that then share a key the first in ``order``
+    stays. Rows that have all columns are left as they are."""
+    lacking = {name: value for name, value in added.items() if name not in states.columns}
+    if not lacking:
+        return states
+    wide = states.withColumns(lacking)
+    row = F.min_by(F.struct(*[c for c in wide.columns if c not in keys]), order)
+    return wide.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*")
+
+
+def planned_update(rows: DataFrame, keys: Sequence[str], column: str, value: Column, limit: int | None = None) -> DataFrame:
+    """``keys, before, after, outcome`` of an update that is not made yet: ``changed``, ``skipped`` (the same value) or
+    ``failed`` (a value that comes out null). ``limit`` takes the first rows by key."""
+    rows = rows if limit is None else rows.orderBy(*keys).limit(limit)
+    before, after = F.col(column), value.cast(rows.schema[column].dataType)
+    outcome = F.when(after.isNull() & before.isNotNull(), "failed").when(before.eqNullSafe(after), "skipped").otherwise("changed")
+    return rows.select(*keys, before.alias("before"), after.alias("after"), outcome.alias("outcome"))
+
+
+def outcomes(plan: DataFrame) -> DataFrame:
+    """One row with the number of rows of each outcome."""
+    return plan.agg(*[F.count(F.when(F.col("outcome") == k, 1)).alias(k) for k in ("changed", "skipped", "failed")])
+
+
+def apply_update(rows: DataFrame, plan: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """``rows`` with the planned changes."""
+    new = plan.where("outcome = 'changed'").select(*keys, F.col("after").alias("_after"), F.lit(True).alias("_new"))
+    joined = rows.join(new, list(keys), "left")
+    kept = [F.when(F.col("_new"), F.col("_after")).otherwise(F.col(c)).alias(c) if c == column else F.col(c) for c in rows.columns]
+    return joined.select(*kept)

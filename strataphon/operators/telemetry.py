@@ -8,6 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ALPHA = 0.15
+# Upper bounds of histogram buckets in seconds, by metric.
+BOUNDS = {
+    "task_duration": [1, 2, 5, 10, 15, 20, 30, 45, 60, 90, 120, 180, 300],
+    "file_duration": [2, 5, 10, 20, 30, 45, 60, 90, 120, 180, 240, 360, 600],
+    "stage_duration": [0.01, 0.05, 0.1, 0.25, 0.5, 1, 2, 5, 10, 20, 30, 60, 120],
+    "demucs_wait": [0.1, 0.5, 1, 2, 5, 10, 20, 30, 60, 120, 300],
+    "tensor_wait": [0.05, 0.1, 0.5, 1, 2, 5, 10, 20, 30, 60],
+    "gatekeeper_wait": [1, 5, 10, 20, 30, 60, 120, 300],
+    "shm_alloc_duration": [0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1, 2, 5],
+    "python_stage_duration": [0.005, 0.01, 0.05, 0.1, 0.25, 0.5, 1, 2, 5, 10, 20, 30, 60],
+    "gpu_wait": [0.5, 1, 2, 5, 10, 20, 30, 60, 120],
+}
 
 
 def ema_fold(values: Column, alpha: float = ALPHA) -> Column:
@@ -95,6 +107,18 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bounds: Sequence[f
     return df.groupBy(*keys).agg(counts.alias("buckets")).select(*keys, F.inline("buckets"))
 
 
+def metric_histograms(df: DataFrame, metric: str, value: str) -> DataFrame:
+    """``metric, le, n`` of rows of the known metrics, by their own bounds; one partial aggregation, without an explode of
+    the rows."""
+    known = df.where(F.col(metric).isin(*BOUNDS))
+    at = {m: [float(b) for b in bounds] for m, bounds in BOUNDS.items()}
+    widest = max(map(len, at.values()))
+    bound = lambda k: F.element_at(F.create_map(*[x for m, b in at.items() if k < len(b) for x in (F.lit(m), F.lit(b[k]))]), F.col(metric))
+    sums = [F.struct(F.first(bound(k)).alias("le"), F.count(F.when(F.col(value) <= bound(k), 1)).alias("n")) for k in range(widest)]
+    counted = known.groupBy(metric).agg(F.array(*sums).alias("buckets")).select(metric, F.inline("buckets"))
+    return counted.where("le is not null")
+
+
 def file_progress(tracks: DataFrame, file: str, total: Column, finished: Column, ok: Column) -> DataFrame:
     """Per file: tracks finished, succeeded and failed, and its status once all are finished; ``total`` is an aggregate."""
     done = tracks.groupBy(file).agg(

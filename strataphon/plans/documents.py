@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
@@ -145,15 +146,26 @@ def _symbols(df):
     return df.select("vec_id", F.explode(F.transform(A.frames(F.col("embedding"), 8), A.argmax)).alias("symbol"))
 
 
-@query("""
-SELECT len(embedding)::INTEGER AS frames, len(string_split(props, ','))::INTEGER AS parts, count(*) AS n
-FROM embeddings e JOIN events v ON e.vec_id = v.event_id GROUP BY ALL
-""")
+@query("""SELECT vec_id, len(embedding)::INTEGER AS frames, 2::INTEGER AS rows, (vec_id % 7)::INTEGER AS second, embedding[1]::DOUBLE AS first, embedding[2]::DOUBLE AS inner FROM embeddings""")
 def q_shape_probe(spark, d):
-    """Array lengths, also of arrays in documents."""
-    e, v = table(spark, d, "embeddings"), table(spark, d, "events")
-    joined = e.join(v, e.vec_id == v.event_id)
-    return joined.groupBy(F.size("embedding").alias("frames"), F.size(F.split("props", ",")).alias("parts")).agg(F.count(F.lit(1)).alias("n"))
+    """Lengths of arrays in documents, nested ones too, and single elements by subscript."""
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    part = F.slice(e, F.lit(1), (F.col("vec_id") % 7).cast("int"))
+    doc = F.to_json(F.struct(e.alias("a"), F.array(e, part).alias("nested")))
+    size = lambda path: F.json_array_length(F.get_json_object("doc", path))
+    item = lambda path: F.get_json_object("doc", path).cast("double")
+    return table(spark, d, "embeddings").select("vec_id", doc.alias("doc")).select(
+        "vec_id", size("$.a").alias("frames"), size("$.nested").alias("rows"), size("$.nested[1]").alias("second"),
+        item("$.a[0]").alias("first"), item("$.nested[0][1]").alias("inner"),
+    )
+
+
+@query("""SELECT d.doc_id, d.lang, coalesce(l.quality, -1)::INTEGER AS quality, row_number() OVER (PARTITION BY d.lang ORDER BY l.quality DESC NULLS LAST, d.doc_id) AS place FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def q_nulls_last(spark, d):
+    """Falling order with unknown values at the end, per language."""
+    rows = table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    w = Window.partitionBy("lang").orderBy(F.desc_nulls_last("quality"), "doc_id")
+    return rows.select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality"), F.row_number().over(w).alias("place"))
 
 
 @query("SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1")

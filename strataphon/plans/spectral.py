@@ -12,9 +12,10 @@ _FAMILIES = list(features.REGISTRY)
 
 
 def _tracks(spark, d):
-    """Each embedding repeated to a second of sound at 8 kHz."""
+    """Each embedding repeated to a second of sound at 8 kHz. A small file is one task; its rows are dealt before they grow."""
     y = F.flatten(F.array_repeat("embedding", 125))
-    return table(spark, d, "embeddings").select("vec_id", F.lit("vocals").alias("stem"), F.lit(8000).alias("sr"), y.cast("array<float>").alias("y"))
+    rows = table(spark, d, "embeddings").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.select("vec_id", F.lit("vocals").alias("stem"), F.lit(8000).alias("sr"), y.cast("array<float>").alias("y"))
 
 
 def _family(name):

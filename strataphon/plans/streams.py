@@ -17,7 +17,7 @@ def _drain(spark, frame, mode):
     root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
 
     def sink(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{root}/out")
+        batch.write.mode("append" if mode == "append" else "overwrite").parquet(f"{root}/out")
 
     stream = frame.writeStream.outputMode(mode).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
     stream.foreachBatch(sink).start().awaitTermination()
@@ -45,6 +45,27 @@ def q_stream_stats(spark, d):
     return out.select("event_type", "n", "last", F.round("ema", 6).alias("ema"))
 
 
+@query("""WITH e AS (SELECT event_id, user_id, CASE event_id % 4 WHEN 0 THEN 'request' WHEN 1 THEN 'RUNNING' WHEN 2 THEN 'COMPLETED' ELSE 'FAILED' END AS event, event_id % 10 = 0 AS force FROM events),
+ h AS (SELECT *, list(event || force::INTEGER) OVER (PARTITION BY user_id ORDER BY event_id) AS past FROM e),
+ s AS (SELECT *, list_reduce(list_prepend('', past[1 : len(past) - 1]), lambda a, x: CASE WHEN x = 'request1' OR (x = 'request0' AND a IN ('', 'FAILED')) THEN 'PENDING' WHEN x = 'request0' THEN a ELSE x[1 : len(x) - 1] END) AS before FROM h)
+SELECT event_id, CASE WHEN event = 'request' THEN force OR before IN ('', 'FAILED') END AS run,
+ CASE WHEN event <> 'request' THEN event WHEN force OR before IN ('', 'FAILED') THEN 'PENDING' ELSE before END AS status FROM s""")
+def q_stream_gate(spark, d):
+    """Task states over a stream of requests and transitions."""
+    k = F.col("event_id")
+    event = F.when(k % 4 == 0, "request").when(k % 4 == 1, "RUNNING").when(k % 4 == 2, "COMPLETED").otherwise("FAILED")
+    rows = _events(spark, d).select("user_id", k.alias("seq"), event.alias("event"), (k % 10 == 0).alias("force"))
+    out = _drain(spark, pipeline.state_gate(rows, ["user_id"]), "append")
+    return out.select(F.col("seq").alias("event_id"), "run", "status")
+
+
+@query("""SELECT DISTINCT user_id, md5(props) AS content FROM events""")
+def q_stream_dedup(spark, d):
+    """One row of each content, with a watermark that lets old ones go."""
+    rows = _events(spark, d).select("user_id", F.md5(F.col("props").cast("binary")).alias("content"), F.col("ts").cast("timestamp").alias("ts"))
+    return _drain(spark, pipeline.dedup_stream(rows, "ts", "3650 days", "user_id", "content"), "append").select("user_id", "content")
+
+
 @query("""SELECT l_orderkey, l_linenumber, count(*) AS n, max(CASE WHEN l_discount <= 0 THEN -40.0::DOUBLE ELSE
  round(10 * log10(greatest(0.0001::DOUBLE, l_discount) / (1 - greatest(0.0001::DOUBLE, l_discount))), 4) END) AS db FROM lineitem GROUP BY ALL""")
 def q_sql_functions(spark, d):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions import tags
 from ..session import table
+from ..sources import documents
 from .registry import query
 
 _BOUNDS = """c AS (SELECT conv_id, turn, role, length(text) AS n FROM conversations),
@@ -137,18 +138,108 @@ def q_model_split(spark, d):
     )
 
 
-@query("""WITH s AS (SELECT vec_id, list_avg(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) AS e,
- list_max(list_transform(embedding, lambda x: abs(x::DOUBLE))) AS pk FROM embeddings)
-SELECT vec_id, trunc(e * 100)::BIGINT::VARCHAR AS energy, trunc(pk * 100)::BIGINT::VARCHAR AS peak, 'straight' AS groove, '100' AS swing, 'C#' AS pitch, 7::INTEGER AS n FROM s""")
+@query("""WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ t AS (SELECT vec_id, e, list_avg(list_transform(e, lambda x: x * x)) AS en, list_max(list_transform(e, lambda x: abs(x))) AS pk FROM s)
+SELECT vec_id, trunc(en * 100)::BIGINT::VARCHAR AS energy, trunc(pk * 100)::BIGINT::VARCHAR AS peak, 'straight' AS groove, '100' AS swing, 'C#' AS pitch,
+ trunc(e[3] * 100)::BIGINT::VARCHAR AS band2, trunc(e[20] * 100)::BIGINT::VARCHAR AS mfcc12, '0.0' AS zcr, (round(e[1], 3) + 0.0::DOUBLE)::VARCHAR AS nap, (23 + 7 + 13 + 6 + 2)::INTEGER - 1 AS n FROM t""")
 def q_tag_render(spark, d):
-    """Features as tags, with scales and defaults."""
+    """Features as tags: scales, decimals, one tag an element of a list, and defaults."""
     e = A.doubles(F.col("embedding"))
-    m = tags.render_tags({"energy": A.energy(e), "rms_peak": A.peak(e), "dominant_pitch": F.lit("C#"), "bpm": F.lit(120.7)})
-    return table(spark, d, "embeddings").select("vec_id", m.alias("m")).select(
-        "vec_id", F.col("m")["LIBROSA_ENERGY"].alias("energy"), F.col("m")["LIBROSA_RMS_PEAK"].alias("peak"),
-        F.col("m")["LIBROSA_GROOVE_CLASS"].alias("groove"), F.col("m")["LIBROSA_SWING_RATIO"].alias("swing"),
-        F.col("m")["LIBROSA_DOMINANT_PITCH"].alias("pitch"), F.size("m").alias("n"),
+    scalars = {
+        "energy": A.energy(e), "rms_peak": A.peak(e), "dominant_pitch": F.lit("C#"), "bpm": F.lit(120.7), "snr": F.get(e, F.lit(5)),
+        "nap": F.round(F.get(e, F.lit(0)), 3), "contrast_bands": F.slice(e, 1, 7), "mfccs": F.slice(e, 8, 13),
+    }
+    m = tags.render_tags(scalars)
+    names = {
+        "energy": "ENERGY", "peak": "RMS_PEAK", "groove": "GROOVE_CLASS", "swing": "SWING_RATIO", "pitch": "DOMINANT_PITCH",
+        "band2": "CONTRAST_B2", "mfcc12": "MFCC12", "zcr": "ZCR", "nap": "NAP",
+    }
+    rows = table(spark, d, "embeddings").select("vec_id", m.alias("m"))
+    return rows.select("vec_id", *[F.col("m")["LIBROSA_" + t].alias(c) for c, t in names.items()], F.size("m").alias("n"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, count(*) AS n, min(((CASE WHEN l_returnflag = 'R' THEN '-' ELSE '' END) || l_quantity::INTEGER || 'e' || (l_orderkey % 40 - 20))::DOUBLE::VARCHAR) AS shown FROM lineitem GROUP BY ALL""")
+def q_float_text(spark, d):
+    """Doubles of every size as their shortest decimals."""
+    sign = F.when(F.col("l_returnflag") == "R", "-").otherwise("")
+    text = F.concat(sign, F.col("l_quantity").cast("int").cast("string"), F.lit("e"), (F.col("l_orderkey") % 40 - 20).cast("string"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", tags.float_text(text.cast("double")).alias("shown"))
+    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.min("shown").alias("shown"))
+
+
+def _sheets(spark, d, last_first: bool):
+    """One cue sheet a conversation, of its turns in order or from the last to the first."""
+    pos, order = F.col("pos"), F.col("turn") if last_first else -F.col("turn")
+    entry = F.format_string(
+        'TRACK %02d AUDIO\nTITLE "Turn %d"\nPERFORMER %s\nINDEX 01 %02d:%02d:%02d\nTITLE "after"',
+        F.col("turn") + 1, F.col("turn"), F.col("role"), F.floor(pos / 4500), F.floor(pos / 75) % 60, pos % 75,
     )
+    rows = _positions(spark, d).select("conv_id", "total", F.struct((-order).alias("k"), entry.alias("e"), "turn", "pos").alias("x"))
+    sheet = rows.groupBy("conv_id").agg((F.max("total") * 588).alias("total"), F.array_sort(F.collect_list("x")).alias("xs"))
+    return sheet.withColumn("text", F.concat(F.lit('TITLE "All"\n'), F.array_join(F.transform("xs", lambda x: x["e"]), "\n")))
+
+
+@query(f"""WITH {_BOUNDS}, b AS (SELECT conv_id, turn, role, trunc(seconds)::BIGINT AS start, total_samples AS total FROM s)
+SELECT conv_id, (turn + 1)::INTEGER AS track, start, least("end", total) AS "end", 'Turn ' || turn AS title, role AS artist FROM
+ (SELECT *, lead(start, 1, total) OVER (PARTITION BY conv_id ORDER BY turn DESC) AS "end" FROM b) WHERE start < total""")
+def q_cue_dialect(spark, d):
+    """The second dialect: tracks as they come, ends unchecked, no titles after the INDEX."""
+    parsed = _sheets(spark, d, True).select("conv_id", "total", tags.parse_cue(F.col("text"), 44100, by_number=False).alias("c"))
+    return parsed.select("conv_id", F.inline(tags.cue_segments(F.col("c.tracks"), F.col("total"))))
+
+
+@query(f"""WITH {_BOUNDS}, b AS (SELECT conv_id, turn, role, trunc(seconds)::BIGINT AS start, total_samples AS total FROM s),
+ e AS (SELECT *, least(lead(start, 1, total) OVER (PARTITION BY conv_id ORDER BY turn), total) AS "end" FROM b),
+ k AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM e WHERE start < total AND "end" > start AND conv_id % 3 < 2)
+SELECT conv_id, (turn + 1)::INTEGER AS track, start, "end", CASE WHEN n = 1 AND conv_id % 2 = 0 THEN 'File ' || conv_id WHEN conv_id % 3 = 0 THEN 'after' ELSE 'Track ' || (turn + 1) END AS title,
+ CASE WHEN conv_id % 3 = 0 THEN role ELSE 'Unknown' END AS artist FROM k
+UNION ALL SELECT conv_id, 1, 0, max(total), CASE WHEN conv_id % 2 = 0 THEN 'File ' || conv_id ELSE 'Unknown' END, 'Unknown' FROM b
+ WHERE conv_id % 3 = 2 OR conv_id NOT IN (SELECT conv_id FROM k) GROUP BY conv_id""")
+def q_file_slices(spark, d):
+    """Slices by the cue sheet in a file's tags, else by its cue block, else the whole file."""
+    conv = F.col("conv_id")
+    own = F.when(conv % 2 == 0, F.create_map(F.lit("title"), F.concat(F.lit("File "), conv.cast("string")))).otherwise(F.create_map().cast("map<string,string>"))
+    at = lambda x: tags.cue_samples(F.floor(x["pos"] / 4500), F.floor(x["pos"] / 75) % 60, x["pos"] % 75, 44100)
+    block = F.transform("xs", lambda x: F.struct((x["turn"] + 1).alias("track"), at(x).alias("start")))
+    text = F.when(conv % 3 == 0, F.col("text")).when(conv % 3 == 1, "")
+    rows = _sheets(spark, d, False)
+    slices = tags.file_slices(text, F.when(conv % 3 == 1, block), F.col("total"), 44100, own)
+    return rows.select("conv_id", F.inline(slices))
+
+
+@query("""SELECT c_custkey, c_custkey % 5 = 0 AS consistent, CASE WHEN c_custkey % 5 = 1 THEN 'GENRE' WHEN c_custkey % 5 = 2 THEN 'COMMENT,GENRE' END AS missing,
+ CASE WHEN c_custkey % 5 = 3 THEN 'title' WHEN c_custkey % 5 = 4 THEN 'title,artist' END AS mismatch FROM customer""")
+def q_tag_consistency(spark, d):
+    """Files against the store: missing or empty tags, other titles; written as JSON and read back."""
+    k, name, segment = F.col("c_custkey") % 5, F.col("c_name"), F.col("c_mktsegment")
+    other = F.concat(F.lit("not "), name)
+    pair = lambda n, v: F.struct(F.lit(n).alias("k"), v.alias("v"))
+    entries = F.array(
+        pair("Title", F.when(k >= 3, other).otherwise(F.concat(F.lit(" "), F.upper(name)))),
+        pair("ARTIST", F.when(k == 4, "somebody else").otherwise(F.lower(segment))),
+        pair("album", F.lit("")),
+        pair("genre", F.when(k == 1, "").otherwise("jazz")),
+        pair("comment", F.lit("x")),
+    )
+    have = F.map_filter(F.map_from_entries(entries), lambda n, _: (k != 2) | ~n.isin("genre", "comment"))
+    wanted = F.create_map(*[F.lit(x) for x in ("GENRE", "jazz", "COMMENT", "x")])
+    stored = {"title": name, "artist": segment, "album": F.lit("stored alone")}
+    rows = table(spark, d, "customer").select("c_custkey", tags.consistency(stored, wanted, have).alias("r"))
+    report = documents.write_report(rows.select("c_custkey", "r.*"))
+    text = lambda c: F.nullif(F.array_join(c, ","), F.lit(""))
+    return report.select(
+        "c_custkey", "consistent", text(F.array_sort(F.map_keys("missing"))).alias("missing"), text(F.transform("mismatch", lambda x: x["field"])).alias("mismatch")
+    )
+
+
+@query("""SELECT event_id, event_type AS key, (CASE event_id % 5 WHEN 0 THEN 4 WHEN 1 THEN 255 WHEN 2 THEN 255 WHEN 3 THEN 100 ELSE 255 END)::INTEGER AS length FROM events""")
+def q_model_files(spark, d):
+    """Keys of model files, and texts cut to their column."""
+    k = F.col("event_id") % 5
+    marks = F.array(*map(F.lit, ["-discogs-effnet-1", "_msd_musicnn", "_effnet", "_musicnn-2", "_maest_30s"]))
+    name = F.concat("event_type", F.get(marks, k.cast("int")), F.lit(".onnx"))
+    long = F.repeat(F.lit("é"), F.get(F.array(*map(F.lit, [4, 255, 256, 100, 9999])), k.cast("int")))
+    return table(spark, d, "events").select("event_id", tags.model_file_key(name).alias("key"), F.length(tags.cut_text(long)).alias("length"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'source' ELSE 'lang,source' END AS missing FROM documents""")

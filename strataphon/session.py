@@ -18,6 +18,17 @@ REQUIRED = {
 }
 
 
+#: Bytes of one Arrow batch on its way to Python, unless the session sets another bound.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes as well as by rows, so that a batch of long texts or files doesn't fill a worker."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "strataphon") -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -6,10 +6,14 @@ state, and a batch that is run again writes the same version.
 
 from __future__ import annotations
 
+import logging
+import threading
+import uuid
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -149,3 +153,51 @@ def upsert_sink(
         batch.unpersist()
 
     return sink
+
+
+def dedup_stream(rows: DataFrame, ts: str, late: str, *keys: str) -> DataFrame:
+    """The first row of each key that the stream meets; the watermark lets old keys go from the state."""
+    return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
+
+
+def guarded_sink(sink: Callable[[DataFrame, int], None], letters: Callable[[DataFrame, int, str], None], seconds: float = 20.0) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that gives ``sink`` so much time. If it takes longer or fails, its Spark jobs are
+    cancelled and the batch goes to ``letters`` with the reason, so the stream goes on."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        context, tag = batch.sparkSession.sparkContext, f"sink-{uuid.uuid4().hex[:12]}"
+        done: list[BaseException | None] = []
+
+        def work():
+            context.addJobTag(tag)
+            try:
+                sink(batch, batch_id)
+                done.append(None)
+            except Exception as e:  # whatever it is, the batch must not be lost
+                done.append(e)
+
+        thread = InheritableThread(work)
+        thread.start()
+        thread.join(seconds)
+        if thread.is_alive():
+            context.cancelJobsWithTag(tag)
+            thread.join()
+        if not done or done[0] is not None:
+            letters(batch, batch_id, "timeout" if not done or "cancel" in str(done[0]).lower() else str(done[0])[:255])
+
+    return run
+
+
+def periodically(job: Callable[[], None], seconds: float = 600.0, stop: threading.Event | None = None, rounds: int | None = None) -> int:
+    """Run ``job`` at once and then every ``seconds`` until ``stop`` is set; the number of runs. A run that fails is only
+    logged: the next one finds the same letters."""
+    stop, n = stop or threading.Event(), 0
+    while not stop.is_set() and (rounds is None or n < rounds):
+        try:
+            job()
+        except Exception:
+            logging.getLogger(__name__).exception("a periodic run failed")
+        n += 1
+        if rounds is None or n < rounds:
+            stop.wait(seconds)
+    return n

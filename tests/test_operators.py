@@ -179,7 +179,7 @@ def test_audio_files(spark, tmp_path):
     assert info["b.FLAC"].sample_rate is None
     md5 = {r.path[-6:]: r.m for r in audio.read_files(spark, str(tmp_path)).select("path", audio.header_md5(F.col("content")).alias("m")).collect()}
     assert md5["a.flac"] == bytes(range(16)).hex() == a.md5 and md5["b.FLAC"] is None
-    w = audio.read_wav_slices(audio.read_files(spark, str(tmp_path), "wav")).first()
+    w = audio.read_slices(audio.read_files(spark, str(tmp_path), "wav")).first()
     assert w.sr == 44100 and len(w.y) == 22050 and len(w.audio_hash) == 32
 
 
@@ -285,3 +285,108 @@ def test_previous_row_across_blocks(spark):
     df = spark.createDataFrame(rows, "k string, t string, v int").withColumn("t", F.col("t").cast("timestamp"))
     got = {r.v: r.previous.v if r.previous else None for r in telemetry.with_previous(df, ["k"], "t", "v", ["v"]).collect()}
     assert got == {11: None, 12: 11, 41: 12, 42: 41, 51: 42, 52: 51, 7: None}
+
+
+@pytest.mark.parametrize("kind", ["verbatim", "fixed", "linear"])
+@pytest.mark.parametrize("channels", [1, 2, 3])
+@pytest.mark.parametrize("bits", [8, 16, 24])
+def test_flac_round_trip(kind, channels, bits):
+    import hashlib
+
+    from strataphon.sources import flac
+
+    rng, t, top = np.random.default_rng(bits), np.arange(5000), 1 << (bits - 1)
+    x = np.stack([np.round(0.4 * top * np.sin(t / (20 + 7 * c)) + rng.normal(0, 3, len(t))) for c in range(channels)], 1)
+    x = np.clip(x, -top, top - 1).astype(np.int64)
+    content = flac.encode(x, 48_000, bits, kind, comments={"TITLE": "t"})
+    assert (np.concatenate(list(flac.blocks(content))) == x).all()
+    assert (np.concatenate(list(flac.blocks(content, 4000, 4500))) == x[4000:4500]).all()
+    info = audio.flac_info(content)
+    assert info["md5"] == hashlib.md5(flac.pcm(x, bits)).hexdigest() and info["tags"] == {"title": ["t"]} and info["total_samples"] == 5000
+    with pytest.raises(ValueError):
+        list(flac.blocks(content[: len(content) // 2]))
+
+
+def test_flac_silence_and_other_files():
+    from strataphon.sources import flac
+
+    quiet = np.zeros((9000, 2), np.int64)
+    assert (np.concatenate(list(flac.blocks(flac.encode(quiet, 44_100)))) == 0).all()
+    with pytest.raises(ValueError):
+        flac.stream(b"RIFF" + bytes(100))
+
+
+def test_long_wav_comes_in_blocks():
+    x = np.arange(-20_000, 20_000, dtype=np.int64)[:, None]
+    rate, parts = audio.sample_blocks(audio.wav_file(x, 4000), 100, 39_000)
+    parts = list(parts)
+    assert rate == 4000 and len(parts) == 5 and np.allclose(np.concatenate([p[1] for p in parts])[:, 0], x[100:39_000, 0] / 32768)
+
+
+def test_second_cue_dialect_and_priority(spark):
+    text = 'PERFORMER "Band"\r\nTRACK 02 AUDIO\rTITLE \'Two\'\n  PERFORMER "B "\nINDEX 01 00:02:00\nTRACK 01 audio\ntitle One side\nINDEX 01 00:01:00\nTRACK 03 AUDIO\nTITLE "no index"'
+    got = one(spark, tags.parse_cue(F.lit(text), 75, by_number=False))
+    assert [(t.track, t.start, t.title, t.artist) for t in got.tracks] == [(2, 150, "Two", "B"), (1, 75, "One side", "")]
+    assert [t.track for t in one(spark, tags.parse_cue(F.lit(text), 75)).tracks] == [1, 2]
+    parsed = tags.parse_cue(F.lit(text), 75, by_number=False)["tracks"]
+    assert [(t.track, t.end) for t in one(spark, tags.cue_segments(parsed, F.lit(160).cast("long")))] == [(2, 75), (1, 160)]
+    none = F.lit(None).cast("array<struct<track:int,start:long>>")
+    empty = F.create_map().cast("map<string,string>")
+    whole = one(spark, tags.file_slices(F.lit(None).cast("string"), none, F.lit(9).cast("long"), 75, empty))
+    assert [(t.track, t.start, t.end, t.title) for t in whole] == [(1, 0, 9, "Unknown")]
+
+
+@pytest.mark.parametrize("value", [0.0, -0.0, 1.0, -2.5, 0.001, 0.0001, 0.00012345, 1e-5, 1.5e-7, 123456789.0, 1e15, 1.25e15, 1e16, 1.5e22, 2.2250738585072014e-308, 1.7976931348623157e308])
+def test_float_text_is_shortest(spark, value):
+    assert one(spark, tags.float_text(F.lit(value))) == repr(value)
+
+
+def test_float_text_defaults(spark):
+    assert [one(spark, tags.float_text(F.lit(v).cast("double"))) for v in (None, float("nan"), float("-inf"))] == ["0.0"] * 3
+
+
+def test_live_settings():
+    text = {"t": "[a]\nx = 1\n"}
+    live = documents.LiveSettings(lambda: text["t"], lambda: hash(text["t"]), {"a": {"x": 0, "y": 5}})
+    assert live.now == {"a": {"x": 1, "y": 5}} and live.poll() == {}
+    text["t"] = "[a]\nx = 2\n"
+    assert live.poll() == {"a.x": (1, 2)} and live.poll() == {}
+    text["t"] = "[a\n"
+    assert live.poll() == {} and live.now["a"]["x"] == 2
+
+
+def test_guarded_sink_saves_batches(spark):
+    import time
+
+    letters = []
+    keep = lambda batch, k, why: letters.append((k, why))
+    pipeline.guarded_sink(lambda batch, k: batch.count(), keep, 30)(spark.range(5), 0)
+    pipeline.guarded_sink(lambda batch, k: 1 / 0, keep, 30)(spark.range(5), 1)
+    slow = lambda batch, k: batch.selectExpr("java_method('java.lang.Thread', 'sleep', 20000L)").collect()
+    began = time.time()
+    pipeline.guarded_sink(slow, keep, 0.5)(spark.range(1), 2)
+    assert [k for k, _ in letters] == [1, 2] and "division" in letters[0][1] and time.time() - began < 19
+
+
+def test_periodic_replay_goes_on_after_a_failure():
+    seen = []
+
+    def job():
+        seen.append(1)
+        if len(seen) == 1:
+            raise ValueError("store is away")
+
+    assert pipeline.periodically(job, 0.01, rounds=3) == 3 and len(seen) == 3
+
+
+def test_planned_update_with_limit(spark):
+    rows = spark.createDataFrame([(k, None if k == 2 else float(k)) for k in range(6)], "k int, v double")
+    plan = snapshot.planned_update(rows, ["k"], "v", F.expr("IF(k = 4, NULL, v * 2)"), limit=5)
+    assert snapshot.outcomes(plan).first().asDict() == {"changed": 2, "skipped": 2, "failed": 1}
+    assert {r.k: r.v for r in snapshot.apply_update(rows, plan, ["k"], "v").collect()} == {0: 0.0, 1: 2.0, 2: None, 3: 6.0, 4: 4.0, 5: 5.0}
+
+
+def test_wide_states_stay(spark):
+    rows = spark.createDataFrame([("a", 1, "x")], "file_path string, track_number int, status string")
+    out = snapshot.migrate_states(rows, ["file_path", "track_number"], {"track_number": F.lit(0)}, F.col("status"))
+    assert out.collect() == rows.collect()

@@ -10,11 +10,15 @@ on their own and their labels are never suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import bounded_batches, lean
+
 #: Bytes that stand between words become blanks, A-Z become a-z.
 _TABLE = bytes(
     b + 32 if 0x41 <= b <= 0x5A else 32 if b <= 0x2F or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b
@@ -34,7 +38,7 @@ class Rule:
 
 def _rule(label: str, rank: int, weight: float, keywords: str, pattern: str) -> Rule:
     return Rule(
-        label, rank, weight, tuple(k.encode() for k in keywords.split()), re.compile(rf"(?<= )(?:{pattern})(?= )".encode())
+        label, rank, weight, tuple(k.encode() for k in keywords.split()), re.compile(rf" (?:{pattern})(?= )".encode())
     )
 
 
@@ -63,12 +67,13 @@ def rules() -> list[Rule]:
 
     for name, words in (("agpl", "affero general public license"), ("lgpl", "lesser general public license"), ("gpl", "general public license")):
         for version in ("1", "2", "2 1", "3"):
+            keys = f"{name} {name}v{version[0]} {name}{version[0]}"
             tag = f"{name}-{version.replace(' ', '.') if ' ' in version else version + '.0'}"
             spoken = version if " " in version else f"{version}(?: 0)?"
-            add(f"{tag}-or-later", 13, 0.98, name, f"(?:gnu )?{name} ?v? ?{spoken} or (?:any )?later(?: version)?")
+            add(f"{tag}-or-later", 13, 0.98, keys, f"(?:gnu )?{name} ?v? ?{spoken} or (?:any )?later(?: version)?")
             add(f"{tag}-or-later", 13, 0.99, "general", f"(?:gnu )?{words} (?:as published by the free software foundation )?(?:either )?v(?:ersion )?{spoken} (?:of the license )?or (?:at your option )?any later version")
-            add(f"{tag}-only", 14, 0.97, name, f"(?:gnu )?{name} ?v? ?{spoken} only")
-            add(tag, 16, 0.92, name, f"(?:gnu )?{name} v? ?{spoken}")
+            add(f"{tag}-only", 14, 0.97, keys, f"(?:gnu )?{name} ?v? ?{spoken} only")
+            add(tag, 16, 0.92, keys, f"(?:gnu )?{name} v? ?{spoken}")
             add(tag, 16, 0.9, f"{name}v{version.split()[0]}", f"{name}v{spoken}")
             add(tag, 15, 0.97, "general", f"(?:gnu )?{words} v(?:ersion )?{spoken}")
         add(name, 33, 0.85, "general", f"(?:gnu )?{words}")
@@ -125,7 +130,7 @@ def rules() -> list[Rule]:
         ("bsd-2-clause", "bsd", "bsd 2 clause(?: licen[sc]e)?"),
         ("bsd-4-clause", "bsd", "(?:original|old|4 clause) bsd(?: licen[sc]e)?"),
         ("0bsd", "bsd", "(?:zero clause|0) bsd"),
-        ("bsd-3-clause", "redistribution", "neither the name of (?:\\S+ ){1,12}nor the names of its contributors may be used"),
+        ("bsd-3-clause", "contributors", "neither the name of (?:\\S+ ){1,12}nor the names of its contributors may be used"),
         ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
     ):
         add(label, 15, 0.93, keys, pattern)
@@ -174,42 +179,55 @@ class Scanner:
         if not keys:
             return len(words), 0, None, None, "", "", 0.0, []
         line = b" " + b" ".join(words) + b" "
-        n, first, last, base = 0, None, None, set()
+        places, base = [], set()
         for phrase, _, label in self.base:
             at = line.find(phrase)
             while at >= 0:
-                word = line.count(b" ", 0, at)
-                n, first, last = n + 1, min(word, word if first is None else first), max(word, -1 if last is None else last)
+                places.append(at)
                 base.add(label)
                 at = line.find(phrase, at + 1)
         hits = []
         for k in sorted({k for key in keys for k in self.by_key.get(key, ())}):
             rule = self.rules[k]
-            hits += [(m.start(), m.end(), rule.rank, k) for m in rule.regex.finditer(line)]
+            hits += [(m.start() + 1, m.end(), rule.rank, k) for m in rule.regex.finditer(line)]
         kept = contained(hits)
         labels = base | {self.rules[k].label for _, _, _, k in kept}
         score = 1.0
         for k in {k for _, _, _, k in kept}:
             score *= 1 - self.rules[k].weight
-        spans = [
-            (self.rules[k].label, line.count(b" ", 0, a) - 1, line.count(b" ", 0, b) - 1) for a, b, _, k in kept
-        ]
+        blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)  # word k begins after blank k
+        word = lambda at: np.searchsorted(blanks, np.array(at, np.int64)).tolist()
+        starts, ends = word([h[0] - 1 for h in kept]), word([h[1] for h in kept])
+        spans = [(self.rules[h[3]].label, a, b) for h, a, b in zip(kept, starts, ends)]
+        n = len(places)
+        first, last = word([min(places), max(places)]) if n else (None, None)
         return len(words), n, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), 1 - score, spans
 
 
 def contained(hits: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Of (start, end, rank, rule) keep those that no better one contains or is contained in.
+    """Of (start, end, rank, rule) keep those that no better one contains or is contained in, sorted by start.
 
-    One sweep by start: kept intervals are no pair of which one contains the other, so they are sorted by
-    start and end alike, and a new interval need only be held against those that still reach it.
+    Only hits that overlap can contain each other, so chains of overlapping hits are judged one by one.
     """
-    order = sorted(hits, key=lambda h: (h[2], h[0] - h[1], h[3], h[0]))
+    out: list[tuple[int, int, int, int]] = []
+    chain: list[tuple[int, int, int, int]] = []
+    reach = -1
+    for hit in sorted(hits):
+        if hit[0] >= reach and chain:
+            out += judged(chain) if len(chain) > 1 else chain
+            chain = []
+        chain.append(hit)
+        reach = max(reach, hit[1])
+    return out + (judged(chain) if len(chain) > 1 else chain)
+
+
+def judged(chain: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """``contained`` within one chain. Of kept intervals none contains another, so they are sorted by start and end
+    alike, and a new one need only be held against its neighbours."""
     kept: list[tuple[int, int, int, int]] = []
     starts: list[int] = []
     ends: list[int] = []
-    from bisect import bisect_left, bisect_right
-
-    for hit in order:
+    for hit in sorted(chain, key=lambda h: (h[2], h[0] - h[1], h[3], h[0])):
         a, b = hit[:2]
         k = bisect_right(starts, a)
         if k and ends[k - 1] >= b:  # lies in a kept one
@@ -251,7 +269,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(step, SCHEMA)
+    bounded_batches(docs.sparkSession)
+    return docs.select("doc_id", "text").mapInArrow(lean(step), SCHEMA)
 
 
 def op9_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,32 +4,38 @@ Template: each turn is ``<s>[role]\\n`` text ``</s>\\n``, with role and text esc
 escape: it is doubled, and every control string inside a text gets one after its first character. So no
 escaped text holds a control string, none can open or close a turn, and unescaping gives the text back exactly.
 
-Windows: a conversation whose turns fit the budget is one window. Else prefix sums of turn sizes choose
-turn-aligned spans: each window repeats the leading system turn, then up to ``history`` budget of the turns
+Windows: a conversation whose turns fit the budget is one window. Else prefix sums of turn tokens choose
+turn-aligned spans: each window repeats the leading system turn, then up to ``history`` tokens of the turns
 just before its span (whole turns, context only), then new turns as long as they fit. A turn larger than
 what is left of the budget has a window of its own with no history, uncut. Each assistant text is a
 target (loss mask) in exactly one window; repeats of it as history are masked out.
 
-Sizes are counted in characters of formatted text, a stand-in for tokens that needs no vocabulary; pass
-``measure`` for another unit.
+Tokens are counted by a public vocabulary that never joins across white space, so a window's tokens are the sum of
+its turns'. Turns stream: a task holds one window and the history, however long a conversation is. Its digests
+are hashes of all its text in order, so one conversation is one task's work, but never one task's memory.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import bounded_batches, lean
+from .packing import chunk_ids, default_tokenizer
+
 OPEN, CLOSE, END = "<s>[", "]\n", "</s>\n"
 #: Control strings; each is broken by an escape wherever a text holds it.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|")
-BUDGET = 2048
-HISTORY = 512
+#: Tokens of a window, and of the history in it.
+BUDGET, HISTORY = 1024, 256
+YIELD_CHARS = 4 << 20
 
 _ESCAPE = re.compile(r"\\|" + "|".join(re.escape(c) for c in sorted(CONTROL, key=len, reverse=True)))
 _UNESCAPE = re.compile(r"\\(.)", re.S)
@@ -49,35 +55,50 @@ def unescape(text: str) -> str:
 
 
 def windows(
-    turns: list[tuple[str, str]], budget: int = BUDGET, history: int = HISTORY, measure: Callable[[str], int] = len
+    turns: Iterable[tuple[str, str, int]], budget: int = BUDGET, history: int = HISTORY
 ) -> Iterator[tuple[str, list[tuple[int, int]], list[int]]]:
-    """(formatted text, loss spans in it, turn numbers) of each window; a turn is new in one window alone."""
-    heads = [OPEN + escape_role(role) + CLOSE for role, _ in turns]
-    bodies = [escape(text) for _, text in turns]
-    sums = [0]
-    for head, body in zip(heads, bodies):
-        sums.append(sums[-1] + measure(head + body + END))
-    system = 1 if turns and turns[0][0] == "system" else 0
-    fixed = sums[system]
-    start = system
-    done_system = False
-    while start < len(turns) or not done_system and turns:
-        first = start
-        if start > system:  # earlier turns, newest first, as far as the history budget goes
-            least = sums[start] - min(history, max(0, budget - fixed - (sums[start + 1] - sums[start])))
-            first = max(system, min(start, bisect_left(sums, least)))
-        end = start + (start < len(turns))
-        while end < len(turns) and fixed + sums[end + 1] - sums[first] <= budget:
-            end += 1
-        parts, spans, members, at = [], [], [], 0
-        for k in [*range(system), *range(first, end)]:
-            if k >= start and turns[k][0] == "assistant":
-                spans.append((at + len(heads[k]), at + len(heads[k]) + len(bodies[k])))
-            parts.append(heads[k] + bodies[k] + END)
-            members.append(k)
+    """(formatted text, loss spans in it, turn numbers) of each window of the turns (role, text, tokens); a turn is new
+    in one window alone."""
+    system: list[tuple] = []
+    recent: deque = deque()  # the turns before the window, as far as the history budget goes
+    context, new, used = [], [], 0
+
+    def made():
+        parts, spans, at = [], [], 0
+        for k, role, head, body, _ in [*system, *context, *new]:
+            if new and k >= new[0][0] and role == "assistant":
+                spans.append((at + len(head), at + len(head) + len(body)))
+            parts.append(head + body + END)
             at += len(parts[-1])
-        yield "".join(parts), spans, members
-        start, done_system = end, True
+        return "".join(parts), spans, [t[0] for t in [*system, *context, *new]]
+
+    for k, (role, text, tokens) in enumerate(turns):
+        turn = (k, role, OPEN + escape_role(role) + CLOSE, escape(text), tokens)
+        if k == 0 and role == "system":
+            system.append(turn)
+            continue
+        if new and used + tokens > budget:
+            yield made()
+            recent.extend(new)
+            total = sum(t[4] for t in recent)
+            while recent and total > history:
+                total -= recent.popleft()[4]
+            new = []
+        if not new:
+            fixed = sum(t[4] for t in system)
+            room, context = max(0, budget - fixed - tokens), list(recent)
+            total, skip = sum(t[4] for t in context), 0
+            while total > room:
+                total, skip = total - context[skip][4], skip + 1
+            context, used = context[skip:], fixed + total
+        new.append(turn)
+        used += tokens
+    if new or system and not recent:
+        yield made()
+
+
+def formatted_turn(role: str, text: str) -> str:
+    return OPEN + escape_role(role) + CLOSE + escape(text) + END
 
 
 def read_back(formatted: str) -> list[tuple[str, str]]:
@@ -92,91 +113,100 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
-def format_conversations(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+_WINDOW = pa.schema(
+    [
+        ("conv_id", pa.int64()),
+        ("window", pa.int32()),
+        ("turns", pa.list_(pa.int32())),
+        ("formatted", pa.string()),
+        ("loss_spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+    ]
+)
+_WINDOW_SQL = "conv_id long, window int, turns array<int>, formatted string, loss_spans array<struct<start:int,end:int>>"
+
+
+def format_conversations(
+    conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokenizer: str | None = None
+) -> DataFrame:
     """``conv_id, window, turns array<int>, formatted, loss_spans array<struct<start,end>>``.
 
     Rows of one conversation are ordered by (turn, role, text); a null turn comes first, a null role or text
-    is empty. Equal turn numbers are all kept. A conversation streams through one sorted partition. An empty
-    table gives no window. Other columns are ignored.
+    is empty; rows of null conv_id are one conversation. Equal turn numbers are all kept. A conversation streams
+    through one sorted partition. An empty table gives no window. Other columns are ignored. Sizes are tokens of
+    the vocabulary at the path ``tokenizer``; without one, characters.
     """
+    bounded_batches(conversations.sparkSession)
     columns = ["conv_id", "turn", "role", "text"]
     rows = conversations.select(
-        "conv_id", "turn", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text")]
+        F.col("conv_id").cast("long").alias("conv_id"), "turn", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text")]
     )
     rows = rows.repartition("conv_id").sortWithinPartitions(*columns)
 
-    def runs(frames):
-        open_id, turns = None, []
-        for frame in frames:
-            for conv, role, text in zip(frame["conv_id"], frame["role"], frame["text"]):
-                conv = None if pd.isna(conv) else int(conv)
-                if turns and conv != open_id:
-                    yield open_id, turns
-                    turns = []
-                open_id = conv
-                turns.append((role, text))
-        if turns:
-            yield open_id, turns
-
-    def step(frames):
-        out = []
-        for conv, turns in runs(frames):
-            for k, (text, spans, members) in enumerate(windows(turns, budget, history)):
+    def sizes(turns: list[str]) -> list[int]:
+        return [len(t) // 4 for t in chunk_ids(tokenizer).texts([t.encode() for t in turns])] if tokenizer else [len(t) for t in turns]
+
+    def turns(batches):
+        for batch in batches:
+            conv, _, role, text = (c.to_pylist() for c in batch.columns)
+            yield from zip(conv, role, text, sizes([formatted_turn(r, t) for r, t in zip(role, text)]))
+
+    def step(batches):
+        out, size = [], 0
+        for conv, rows_of in groupby(turns(batches), key=lambda r: r[0]):
+            for k, (text, spans, members) in enumerate(windows((r[1:] for r in rows_of), budget, history)):
                 out.append((conv, k, members, text, [{"start": a, "end": b} for a, b in spans]))
-            if len(out) >= 500:
-                yield as_frame(out)
-                out = []
+                size += len(text)
+                if size > YIELD_CHARS:
+                    yield _rows(out, _WINDOW)
+                    out, size = [], 0
         if out:
-            yield as_frame(out)
+            yield _rows(out, _WINDOW)
 
-    def as_frame(out):
-        frame = pd.DataFrame(out, columns=["conv_id", "window", "turns", "formatted", "loss_spans"])
-        return frame.astype({"conv_id": "Int64"})
+    return rows.mapInArrow(lean(step), _WINDOW_SQL)
 
-    return rows.mapInPandas(
-        step,
-        "conv_id long, window int, turns array<int>, formatted string, loss_spans array<struct<start:int,end:int>>",
-    )
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+_DIGEST = pa.schema(
+    [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+)
 
 
 def digests(windows_df: DataFrame) -> DataFrame:
     """Per conversation, from the windows alone: digests of all turns and of everything under the loss mask."""
     rows = windows_df.repartition("conv_id").sortWithinPartitions("conv_id", "window")
 
-    def step(frames):
-        state, out = None, []
-
-        def close():
-            out.append((state["id"], state["n"], state["turns"].hexdigest(), state["chars"], state["loss"].hexdigest(), state["all"]))
-
-        for frame in frames:
-            for conv, members, formatted, spans in zip(
-                frame["conv_id"], frame["turns"], frame["formatted"], frame["loss_spans"]
-            ):
-                conv = None if pd.isna(conv) else int(conv)
-                if state is None or state["id"] != conv:
-                    if state is not None:
-                        close()
-                    state = {"id": conv, "n": 0, "seen": -1, "chars": 0, "all": 0, "turns": hashlib.sha256(), "loss": hashlib.sha256()}
+    def window_rows(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield tuple(c[k].as_py() for c in batch.columns)
+
+    def step(batches):
+        out = []
+        for conv, rows_of in groupby(window_rows(batches), key=lambda r: r[0]):
+            seen, n, chars, total = -1, 0, 0, 0
+            turns, loss = hashlib.sha256(), hashlib.sha256()
+            for _, _, members, formatted, spans in rows_of:
                 for k, (role, text) in zip(members, read_back(formatted)):
-                    if k > state["seen"]:
-                        state["seen"], state["n"] = k, state["n"] + 1
-                        state["turns"].update(f"{role}\n{text}\n".encode())
+                    if k > seen:
+                        seen, n = k, n + 1
+                        turns.update(f"{role}\n{text}\n".encode())
                 for span in spans:
                     text = unescape(formatted[span["start"] : span["end"]])
-                    state["chars"] += len(text)
-                    state["loss"].update(text.encode())
-                state["all"] += len(formatted)
-            if out:
-                yield pd.DataFrame(out, columns=names).astype({"conv_id": "Int64"})
-                out.clear()
-        if state is not None:
-            close()
-            yield pd.DataFrame(out, columns=names).astype({"conv_id": "Int64"})
-
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    return rows.mapInPandas(
-        step,
+                    chars += len(text)
+                    loss.update(text.encode())
+                total += len(formatted)
+            out.append((conv, n, turns.hexdigest(), chars, loss.hexdigest(), total))
+            if len(out) >= 5000:
+                yield _rows(out, _DIGEST)
+                out = []
+        if out:
+            yield _rows(out, _DIGEST)
+
+    return rows.mapInArrow(
+        lean(step),
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
 
@@ -186,4 +216,4 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], table.schema)
-    return digests(format_conversations(table.union(extra)))
+    return digests(format_conversations(table.union(extra), tokenizer=default_tokenizer()))

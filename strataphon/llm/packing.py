@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -25,13 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, held
+from .common import Scratch, held, lean, raw_texts
 
 SEQUENCE = 4096
 END_ID = 2
 OPEN_WINDOWS = 64
 MERGE_WINDOWS = 1024
-CACHE_CHUNKS, CACHE_BYTES = 300_000, 64
+CACHE_CHUNKS, CACHE_BYTES = 400_000, 64
 GROUP_TEXTS, GROUP_BYTES = 256, 1 << 21
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -68,50 +69,54 @@ class ChunkIds:
         rest = []
         for c in chunks:
             text = c.decode("utf-8")
-            if len(c) <= CACHE_BYTES and _PLAIN.fullmatch(text) and text.isalpha() and text.lower() == text:
+            if len(c) <= CACHE_BYTES and _PLAIN.fullmatch(text):
                 letters = c.decode("latin-1").translate(_BYTE_LETTERS)
-                out.append(np.asarray([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes())
+                out.append(_ids_bytes([t.id for t in self.model.tokenize(letters)]))
             else:
                 out.append(None)
                 rest.append(text)
         made = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
-        return [np.asarray(next(made).ids, dtype="<u4").tobytes() if x is None else x for x in out]
+        return [_ids_bytes(next(made).ids) if x is None else x for x in out]
 
     def learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of every chunk; long ones are not kept."""
+        """Ids of chunks that ``young`` doesn't hold; long ones are not kept."""
         if len(self.young) > CACHE_CHUNKS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        new = []
-        for c in chunks - young.keys():
-            if c in old:
-                young[c] = old[c]
-            else:
-                new.append(c)
-        if not new:
-            return young
-        cores = {}
-        for c in new:
+        found = {c: old[c] for c in chunks if c in old}
+        split, missing = [], set()
+        for c in chunks:
+            if c in found:
+                continue
             core = c.rstrip(_CLOSING)
-            cut = core and core != c and b"<|" not in c and (core[-1:].isalnum() or core.decode("utf-8")[-1].lower().isalpha())
-            cores[c] = core if cut else c
-        parts = {x for c, core in cores.items() for x in ((core, c[len(core) :]) if core != c else (c,))}
-        known = {x: young.get(x) or old.get(x) for x in parts}
-        missing = sorted(x for x, ids in known.items() if ids is None)
-        known.update(zip(missing, self.encode(missing)))
-        out = {c: known[core] if core == c else known[core] + known[c[len(core) :]] for c, core in cores.items()}
-        long = {c: ids for c, ids in out.items() if len(c) > CACHE_BYTES}
-        young.update((c, ids) for c, ids in known.items() if len(c) <= CACHE_BYTES)
-        young.update((c, ids) for c, ids in out.items() if len(c) <= CACHE_BYTES)
-        return young if not long else {**young, **long}
-
-    def texts(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for t in texts:
-            raw = (t or "").encode("utf-8")
-            split.append((raw if b"<|" in raw else raw.lower()).split())
-        ids = self.learn(set().union(*split))
-        return [b"".join(map(ids.__getitem__, chunks)) for chunks in split]
+            tail = c[len(core) :]
+            if not core or b"<|" in c or not (core[-1:].isalnum() or core.decode("utf-8")[-1].lower().isalpha()):
+                core, tail = c, b""
+            split.append((c, core, tail))
+            missing.update(x for x in (core, tail) if x and x not in young and x not in old)
+        missing = sorted(missing)
+        known = dict(zip(missing, self.encode(missing)))
+        known[b""] = b""
+        look = lambda x: known[x] if x in known else young[x] if x in young else old[x]
+        found.update((c, look(core) + look(tail)) for c, core, tail in split)
+        young.update((c, ids) for part in (known, found) for c, ids in part.items() if len(c) <= CACHE_BYTES)
+        return found
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of UTF-8 texts. Each chunk is looked up once; what is missing is learnt for the group at once."""
+        get, split, found, missing = self.young.get, [], [], set()
+        for raw in texts:
+            chunks = (raw if b"<|" in raw else raw.lower()).split()
+            ids = list(map(get, chunks))
+            if None in ids:
+                missing.update(c for c, i in zip(chunks, ids) if i is None)
+            split.append(chunks)
+            found.append(ids)
+        learnt = self.learn(missing) if missing else {}
+        return [
+            b"".join([learnt[c] if i is None else i for c, i in zip(chunks, ids)] if None in ids else ids)
+            for chunks, ids in zip(split, found)
+        ]
 
 
 #: Punctuation that ends a chunk in ordinary prose; none of it starts a contraction.
@@ -130,6 +135,11 @@ def _byte_letters() -> str:
 _BYTE_LETTERS = _byte_letters()
 
 
+def _ids_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def chunk_ids(path: str) -> ChunkIds:
     """One cache for each vocabulary in a Python worker."""
     return held(f"packing {path}", lambda: ChunkIds(path))
@@ -138,9 +148,9 @@ def chunk_ids(path: str) -> ChunkIds:
 def grouped(cache: ChunkIds, texts: pa.Array):
     """The ids of each text, encoded in groups of bounded number and size."""
     group, size = [], 0
-    for text in texts:
-        group.append(text.as_py())
-        size += len(group[-1] or "")
+    for text in raw_texts(texts):
+        group.append(text.tobytes())
+        size += len(text)
         if len(group) >= GROUP_TEXTS or size >= GROUP_BYTES:
             yield from cache.texts(group)
             group, size = [], 0
@@ -242,15 +252,16 @@ def pack(
         def step(batches):
             packer = Packer(size, 1 << 62 if last else merge_windows, _first_id(round_no))
             for batch in batches:
-                for r in batch.to_pylist():
-                    packer.place([r[c] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")])
+                names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")
+                for piece in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names)):
+                    packer.place(list(piece))
                 if packer.done:
                     yield _batch(packer.take())
             yield _batch(packer.close(not last))
 
         return step
 
-    rows = scratch.put(docs.select("doc_id", "text").mapInArrow(first, SCHEMA), "pieces")
+    rows = scratch.put(docs.select("doc_id", "text").mapInArrow(lean(first, keep=True), SCHEMA), "pieces")
     parts, round_no = [rows.where("not open")], 0
     left = rows.where("open")
     while True:
@@ -261,7 +272,7 @@ def pack(
         tasks = math.ceil(n / (4 * merge_windows))
         dealt = left.repartition(tasks, F.xxhash64("sequence_id", "offset")) if tasks > 1 else left.coalesce(1)
         dealt = dealt.sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
-        rows = scratch.put(dealt.mapInArrow(merge(round_no, tasks == 1), SCHEMA), "merged")
+        rows = scratch.put(dealt.mapInArrow(lean(merge(round_no, tasks == 1)), SCHEMA), "merged")
         parts.append(rows.where("not open"))
         left = rows.where("open")
         if tasks == 1:

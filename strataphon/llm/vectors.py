@@ -6,10 +6,10 @@ import numpy as np
 import pyarrow as pa
 
 
-def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def matrix(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row numbers, float64 matrix) of the usable vectors: not null, not zero, every component finite.
 
-    Vectors of another length than the first usable one are treated as unusable.
+    Only vectors of length ``width`` are taken; without one, callers pass vectors of one length.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -25,7 +25,7 @@ def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     rows = rows[bad[offsets[rows + 1]] == bad[offsets[rows]]]
     if not len(rows):
         return rows, np.zeros((0, 0))
-    width = int(np.bincount(sizes[rows]).argmax())
+    width = int(sizes[rows[0]]) if width is None else width
     rows = rows[sizes[rows] == width]
     out = flat[offsets[rows][:, None] + np.arange(width)]
     good = out.any(axis=1)

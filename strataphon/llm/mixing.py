@@ -23,6 +23,8 @@ from .common import Scratch, bounded_broadcast
 
 TRAIN_ROWS = 20_000
 BUCKETS = 4096
+#: Words of a topical text are far from independent, so a naive posterior of a whole text is all but certain; that of as many
+#: words as make a long sentence is not, and a text's share of either domain can then be split.
 EVIDENCE = 40
 ROUNDS, TOLERANCE = 25, 1e-9
 #: Target shares of expected tokens by value of ``labels.quality``.
@@ -79,15 +81,16 @@ def rate_column(steps: list[np.ndarray], k: int) -> Column:
     return out
 
 
-def fit_rates(spark: SparkSession, soft: DataFrame, targets: list[float], rounds: int = ROUNDS) -> tuple[list[np.ndarray], float]:
-    """(steps, highest rate) for a written table with ``_tokens`` and ``_posterior``."""
+def fit_rates(spark: SparkSession, soft: DataFrame, targets: list[float], rounds: int = ROUNDS) -> tuple[list[np.ndarray], float, float]:
+    """(steps, highest rate, misfit) for a written table with ``_tokens`` and ``_posterior``; the misfit is the largest gap
+    between a domain's share of expected tokens and its target, 0 without tokens."""
     k, steps = len(targets), []
     want = np.asarray(targets, float) / sum(targets)
     p = [F.col("_posterior")[j] for j in range(k)]
     mass = F.col("_tokens").cast("double")
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    top = 1.0
-    for _ in range(rounds):
+    top, misfit = 1.0, 0.0
+    for turn in range(rounds + 1):
         w = F.col("_w")
         table = soft.withColumn("_w", rate_column(steps, k))
         live = mass * (w > 0).cast("double")
@@ -98,22 +101,27 @@ def fit_rates(spark: SparkSession, soft: DataFrame, targets: list[float], rounds
             *[F.sum(live * p[i] * p[j]) for i, j in pairs],
         ).first()
         if not found[0]:
-            return [], 1.0
+            return [], 1.0, 0.0
         total, top = found[0], found[1] or 1.0
-        miss = np.array(found[2 : 2 + k]) / total - want
-        if np.abs(miss).max() < TOLERANCE:
+        reached = np.array(found[2 : 2 + k])
+        miss = reached / total - want
+        misfit = float(np.abs(reached / max(reached.sum(), 1e-300) - want).max())
+        if np.abs(miss).max() < TOLERANCE or turn == rounds:
             break
         gram = np.zeros((k, k))
         for (i, j), v in zip(pairs, found[2 + k :]):
             gram[i, j] = gram[j, i] = v / total
         steps.append(np.linalg.solve(gram + 1e-9 * np.eye(k), miss))
-    return steps, max(top, 1e-12)
+    return steps, max(top, 1e-12), misfit
 
 
 def mixing_rates(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, label: str = "quality"
 ) -> DataFrame:
-    """``doc_id, tokens, posterior array<double>, rate, copies`` for every row of ``docs (doc_id, text)``.
+    """``doc_id, tokens, posterior array<double>, rate, copies, misfit`` for every row of ``docs (doc_id, text)``.
+
+    ``misfit``, one number for all rows, is the largest gap that is left between a domain's share of expected tokens and
+    its target; targets that no rates can meet show there.
 
     Domains are the keys of ``targets`` in order; labels of other values are not used. A null or empty text has no
     token and the posteriors of no evidence; it gets the rate of those. Without labelled rows all posteriors
@@ -124,7 +132,7 @@ def mixing_rates(
     domains = list(targets)
     soft = domain_posteriors(spark, docs.select("doc_id", "text"), labels, label, domains)
     soft = scratch.put(soft.select("doc_id", "_tokens", "_posterior"), "posteriors")
-    steps, top = fit_rates(spark, soft, [targets[d] for d in domains])
+    steps, top, misfit = fit_rates(spark, soft, [targets[d] for d in domains])
     rate = F.least(F.lit(1.0), rate_column(steps, len(domains)) / top)
     u = F.xxhash64(F.col("doc_id"), F.lit(5)).bitwiseAND((1 << 53) - 1).cast("double") / float(1 << 53)
     return soft.withColumn("rate", rate).select(
@@ -133,6 +141,7 @@ def mixing_rates(
         F.col("_posterior").alias("posterior"),
         "rate",
         F.floor(F.col("rate") + u).cast("int").alias("copies"),
+        F.lit(misfit).alias("misfit"),
     )
 
 
@@ -152,4 +161,4 @@ def op5_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = mixing_rates(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     shares = [F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(TARGETS)]
-    return out.select("doc_id", "tokens", *shares, "rate", "copies")
+    return out.select("doc_id", "tokens", *shares, "rate", "copies", "misfit")

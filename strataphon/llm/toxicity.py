@@ -5,7 +5,8 @@ an occurrence that spans g positions weighs ``DECAY ** g``, spans over ``SPAN``
 by the same norm of both strings' positions. Inserted characters only widen a gap, and characters that are
 not letters or digits take a position but match nothing, so ``i-d-i.o t`` still resembles ``idiot``.
 
-A sentence's units are its words, and runs of three or more single letters joined to one. Labels mark whole
+A sentence's units are its words, runs of three or more single letters joined to one, punctuation between them
+aside. An insult cut in longer pieces by blanks is no unit of its own; its pieces are. Labels mark whole
 documents, so training is multiple-instance: each toxic document lends the unit that scores highest, the
 clean ones lend their hardest units, and both are renewed a few times. Landmarks Z give the Nyström map
 K(Z,Z)^(-1/2) k(x,Z); a linear squared-hinge machine is trained on it. Its decision function is linear in
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held
+from .common import bounded_batches, lean
 
 TRAIN_ROWS, TRAIN_BYTES = 2000, 20_000
 DECAY, SPAN = 0.6, 7
@@ -36,11 +37,15 @@ SYMBOLS = 64
 START, END, GAP = 26, 27, 63
 UNIT_CHARS, UNIT_STEP = 24, 12
 LANDMARKS, NEGATIVES, ROUNDS = 256, 6000, 3
-CACHE_UNITS = 300_000
+CACHE_UNITS, GROUP_TEXTS = 100_000, 200
 #: Digits that stand for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 
+#: Marks that may stand at a single letter's side.
+_MARKS = ".,;:!?-_*'\"()/|"
+
+
 @lru_cache(maxsize=4096)
 def symbol(char: str) -> int:
     char = _LEET.get(char, char)
@@ -57,16 +62,16 @@ def units(text: str | None) -> set[str]:
         for w in [w for w in out if len(w) > UNIT_CHARS]:
             out.discard(w)
             out.update(w[k : k + UNIT_CHARS] for k in range(0, max(1, len(w) - UNIT_STEP), UNIT_STEP))
-    if sum(len(w) == 1 for w in out) >= 2:
-        run: list[str] = []
-        for w in [*words, ""]:
-            if len(w) == 1:
-                run.append(w)
-                continue
-            if len(run) >= 3:
-                run_text = "".join(run)
-                out.update(run_text[k : k + UNIT_CHARS] for k in range(0, max(1, len(run_text) - UNIT_STEP), UNIT_STEP))
-            run = []
+    run: list[str] = []
+    for w in [*words, ""] if sum(len(w) <= 2 for w in out) >= 2 else []:
+        letter = w if len(w) == 1 else w.strip(_MARKS) if len(w) == 2 else ""
+        if len(letter) == 1:
+            run.append(letter)
+            continue
+        if len(run) >= 3:
+            run_text = "".join(run)
+            out.update(run_text[k : k + UNIT_CHARS] for k in range(0, max(1, len(run_text) - UNIT_STEP), UNIT_STEP))
+        run = []
     return out
 
 
@@ -211,15 +216,26 @@ def train(docs: list[tuple[bool, set[str]]], seed: int = 0) -> Model:
 
 
 def train_toxicity(
-    spark: SparkSession, docs: DataFrame, labels: DataFrame, keep: Column, rows: int = TRAIN_ROWS, seed: int = 0
+    spark: SparkSession,
+    docs: DataFrame,
+    labels: DataFrame,
+    keep: Column,
+    rows: int = TRAIN_ROWS,
+    seed: int = 0,
+    text_bytes: int = TRAIN_BYTES,
 ) -> Model:
-    """Train on at most ``rows`` labelled documents of each class among those where ``keep`` (on doc_id) holds."""
+    """Train on at most ``rows`` labelled documents of each class among those where ``keep`` (on doc_id) holds.
+
+    Texts longer than ``text_bytes`` lend nothing to training: the driver holds 2 * rows * text_bytes at most. In a
+    multiple-instance sample a long text says least, as any of its many words may be the one that counts. With neither
+    class, or one alone, all texts score alike.
+    """
     marked = labels.where("toxic is not null and doc_id is not null").where(keep).select("doc_id", "toxic").distinct()
     parts = [
         marked.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(rows) for t in (1, 0)
     ]
     chosen = F.broadcast(parts[0].union(parts[1]))  # 2 * rows rows at most
-    found = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= TRAIN_BYTES)
+    found = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= text_bytes)
     table = found.join(chosen, "doc_id").select("doc_id", "toxic", "text").toArrow()
     data = sorted(zip(*(table[c].to_pylist() for c in ("doc_id", "toxic", "text"))), key=lambda r: (r[0], r[2] or ""))
     return train([(bool(t), units(x)) for _, t, x in data], seed)
@@ -230,6 +246,7 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, model: Model) -> DataFr
 
     Rows, repeated ones included, and columns stay; a column ``toxicity`` is replaced.
     """
+    bounded_batches(spark)
     docs = docs.drop("toxicity")
     shared = spark.sparkContext.broadcast(model)
     column = docs.columns.index("text")
@@ -237,28 +254,28 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, model: Model) -> DataFr
 
     def step(batches):
         mine, cache = shared.value, {}
-        held("toxicity", dict)
         for batch in batches:
             if mine.table is None:
                 best = np.zeros(batch.num_rows)
             else:
-                sets = [units(t.as_py()) for t in batch.column(column)]
-                for k in range(0, len(sets), 200):
-                    part = sets[k : k + 200]
+                best, texts = [], batch.column(column)
+                for k in range(0, len(texts), GROUP_TEXTS):
+                    part = [units(t.as_py()) for t in texts[k : k + GROUP_TEXTS]]
                     new = sorted(set().union(*part) - cache.keys())
                     cache.update(zip(new, mine.unit_scores(new).tolist()))
-                    sets[k : k + 200] = [max(map(cache.__getitem__, u), default=-np.inf) for u in part]
+                    best += [max(map(cache.__getitem__, u), default=-np.inf) for u in part]
                     if len(cache) > CACHE_UNITS:
                         cache.clear()
-                best = np.asarray(sets, dtype=float)
+                best = np.asarray(best, dtype=float)
             score = np.where(np.isfinite(best), mine.probability(np.where(np.isfinite(best), best, 0)), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], schema.names)
 
-    return docs.mapInArrow(step, schema)
+    return docs.mapInArrow(lean(step), schema)
 
 
 def held_out() -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    """Is the row kept out of training? A null id counts as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
 def op4_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

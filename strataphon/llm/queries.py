@@ -8,6 +8,7 @@ from .jaccard_join import op1_ngram_jaccard_join
 from .licenses import op9_license_signatures
 from .mixing import op5_soft_membership_mixing
 from .neighbours import op7_block_matrix_neighbours
+from .oracles import ORACLES
 from .packing import op3_bounded_space_packing
 from .sharding import op2_hypergeometric_sharding
 from .suffix_dedup import op8_radix_suffix_dedup
@@ -28,4 +29,5 @@ QUERIES = {
         op10_chat_windows,
     )
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -11,7 +11,7 @@ import pytest
 from strataphon.llm import jaccard_join, packing, suffix_dedup, toxicity
 from strataphon.llm.licenses import Scanner, contained, scan_licenses
 from strataphon.llm.mixing import mix, mixing_rates
-from strataphon.llm.sharding import block_sizes, communication_matrix, shuffle_into_shards
+from strataphon.llm.sharding import hypergeometric, matrix_row, permuted, shard_sizes, shuffle_into_shards
 
 DOCS = "doc_id long, text string"
 
@@ -157,10 +157,10 @@ def repeats():
     return texts
 
 
-@pytest.mark.parametrize("hot", [2, 50_000])
-def test_suffix_dedup(spark, hot):
+@pytest.mark.parametrize("group", [1, 50_000])
+def test_suffix_dedup(spark, group):
     texts = repeats()
-    found = suffix_dedup.repeated(spark, frame(spark, texts), 40, hot)
+    found = suffix_dedup.repeated(spark, frame(spark, texts), 40, None, group)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digest(found, 40).collect()}
     assert [got[i] for i in range(len(texts))] == brute_removed(texts, 40)
 
@@ -259,27 +259,87 @@ def test_packing_empty(spark):
 
 
 def test_sharding(spark):
-    df = frame(spark, [None, "", *["same"] * 500, *map(str, range(498))]).selectExpr("*", "0 as slot", "'k' as _key_").repartition(7)
-    out = shuffle_into_shards(spark, df, 24, block_rows=10).toPandas()
-    assert sorted(out.doc_id) == list(range(1000)) and out.columns.tolist() == ["doc_id", "text", "_key_", "shard", "slot"]
+    df = frame(spark, [None, "", *["same"] * 500, *map(str, range(498))]).selectExpr("*", "0 as slot", "doc_id * 101 as _key", "'k' as _rank").repartition(7)
+    out = shuffle_into_shards(spark, df, 24).toPandas()
+    assert sorted(out.doc_id) == list(range(1000)) and out.columns.tolist() == ["doc_id", "text", "_key", "_rank", "shard", "slot"]
+    assert (out._key == out.doc_id * 101).all() and set(out._rank) == {"k"}
     sizes = out.groupby("shard").size()
     assert len(sizes) == 24 and sizes.max() - sizes.min() <= 1
     for _, s in out.groupby("shard").slot:
         assert sorted(s) == list(range(len(s)))
-    again = shuffle_into_shards(spark, df, 24, seed=1, block_rows=10).toPandas()
-    assert (out.sort_values("doc_id").shard.to_numpy() != again.sort_values("doc_id").shard.to_numpy()).mean() > 0.8
+    again = shuffle_into_shards(spark, df, 24, seed=1).toPandas()
+    one, two = (x.sort_values("doc_id") for x in (out, again))
+    assert (one.shard.to_numpy() != two.shard.to_numpy()).mean() > 0.8
+    assert abs(np.corrcoef(one.doc_id, one.slot)[0, 1]) < 0.15
     assert shuffle_into_shards(spark, df.where("false")).count() == 0
     assert shuffle_into_shards(spark, df.limit(3), 24).count() == 3
 
 
-def test_communication_matrix_is_hypergeometric():
-    total = np.zeros((3, 4))
-    for seed in range(2000):
-        m = communication_matrix([10, 0, 30], [8, 8, 8, 16], seed)
-        assert m.sum(axis=1).tolist() == [10, 0, 30] and m.sum(axis=0).tolist() == [8, 8, 8, 16]
-        total += m
-    assert np.allclose(total[0] / 2000, [2, 2, 2, 4], atol=0.15)
-    assert sum(b[2] for b in block_sizes(1001, 24, 10)) == 1001
+def test_sharding_query(spark):
+    from strataphon.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas().set_index("doc_id").text
+    out = QUERIES["op2_hypergeometric_sharding"](spark, sf).toPandas()
+    assert sorted(out.doc_id) == sorted(docs.index) and set(out.law) == {"rows"} and out.grown_shard.isna().all()
+    for r in out.itertuples():
+        raw = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(raw) + 8, zlib.crc32(raw))
+    sizes = out.groupby("shard").slot.agg(["count", "max", "nunique"])
+    assert sizes["count"].max() - sizes["count"].min() <= 1
+    assert (sizes["max"] + 1 == sizes["count"]).all() and (sizes["nunique"] == sizes["count"]).all()
+
+
+def test_a_wrong_count_stops_the_job(spark, monkeypatch):
+    df = spark.range(100).repartition(4)
+    kind = type(df)
+    collect = kind.collect
+
+    def miscount(self):
+        rows = collect(self)
+        return [(rows[0][0], rows[0][1] + 1), *[(r[0], r[1]) for r in rows[1:]]]
+
+    monkeypatch.setattr(kind, "collect", miscount)
+    out = shuffle_into_shards(spark, df)
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="counted"):
+        out.collect()
+
+
+@pytest.mark.parametrize("limit", [1, 10**9])
+def test_hypergeometric(limit):
+    rng = np.random.default_rng(4)
+    good, bad, n = 3000, 5000, 1200
+    got = np.array([hypergeometric(rng, good, bad, n, limit) for _ in range(2000)])
+    p = good / (good + bad)
+    sd = np.sqrt(n * p * (1 - p) * (good + bad - n) / (good + bad - 1))
+    assert abs(got.mean() - n * p) < 5 * sd / np.sqrt(len(got)) and 0.92 < got.std() / sd < 1.08
+    assert hypergeometric(rng, 7, 0, 3, limit) == 3 and hypergeometric(rng, 0, 7, 3, limit) == 0 and hypergeometric(rng, 4, 3, 7, limit) == 4
+
+
+def test_hypergeometric_of_large_populations():
+    rng = np.random.default_rng(5)
+    got = np.array([hypergeometric(rng, 10**13, 3 * 10**13, 10**12) for _ in range(200)])
+    sd = np.sqrt(10**12 * 0.25 * 0.75 * (1 - 1 / 40))
+    assert abs(got.mean() - 2.5e11) < 5 * sd / np.sqrt(200) and 0.8 < got.std() / sd < 1.2
+
+
+def test_matrix_rows_add_up():
+    sizes, columns = [5, 0, 17, 3, 41, 1], shard_sizes(67, 4)
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    rows = [matrix_row(before, columns, p, 3, limit=20) for p in range(len(sizes))]
+    counts = np.array([r[0] for r in rows])
+    assert counts.sum(axis=1).tolist() == sizes and counts.sum(axis=0).tolist() == columns and (counts >= 0).all()
+    assert [r[1] for r in rows] == (np.cumsum(counts, axis=0) - counts).tolist()
+    many = np.mean([matrix_row(before, columns, 4, seed)[0] for seed in range(400)], axis=0)
+    assert np.allclose(many, 41 / 67 * np.array(columns), atol=0.5)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000])
+def test_places_are_permuted(n):
+    x = np.arange(n)
+    out = permuted(x, np.full(n, n), np.full(n, 9, np.uint64))
+    assert sorted(out) == x.tolist() and (n < 100 or abs(np.corrcoef(x, out)[0, 1]) < 0.1)
 
 
 def words_places(text, phrase):
@@ -393,6 +453,19 @@ def test_mixing_against_numpy(spark):
     assert mixing_rates(spark, docs, labels.where("false")).where("rate < 0").count() == 0
 
 
+def test_mixing_misfit_and_long_texts(spark):
+    texts = ["good fine word " * (1 + k % 4) if k % 2 else "bad poor thing " * (1 + k % 3) for k in range(80)]
+    texts += ["good fine " * 150_000, None, ""]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    out = mixing_rates(spark, docs, labels).toPandas()
+    share = (out.rate * out.tokens * out.posterior.map(lambda p: p[1])).sum() / (out.rate * out.tokens).sum()
+    assert abs(abs(share - 0.95) - out.misfit[0]) < 1e-6 and out.misfit[0] < 1e-6 and out.tokens.max() == 300_000
+    assert out.rate.between(0, 1).all()
+    one = mixing_rates(spark, docs.where("doc_id % 2 = 1 and doc_id < 80"), labels.where("quality = 1")).toPandas()
+    assert one.misfit[0] > 0.01  # one domain alone can't make up both shares
+
+
 def test_mixing_is_native(spark):
     docs = frame(spark, ["a b", "c"])
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")

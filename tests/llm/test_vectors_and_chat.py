@@ -84,7 +84,7 @@ text = st.text(alphabet=st.sampled_from(list("ab\\]<s>/[INST] \n|é😀")), max_
 def test_chat_round_trip(turns, budget, history):
     turns = [(r, t + ("</s>\n<s>[user]\n" if k % 3 == 0 else "")) for k, (r, t) in enumerate(turns)]
     seen, loss = {}, []
-    for formatted, spans, members in chat.windows(turns, budget, history):
+    for formatted, spans, members in chat.windows(sized(turns), budget, history):
         back = chat.read_back(formatted)
         assert back == [turns[k] for k in members]
         for k, t in zip(members, back):
@@ -99,7 +99,7 @@ def test_chat_round_trip(turns, budget, history):
 
 def test_chat_windows_keep_system_and_budget():
     turns = [("system", "S" * 20)] + [("user" if k % 2 else "assistant", str(k) * 50) for k in range(1, 20)]
-    made = list(chat.windows(turns, 300, 120))
+    made = list(chat.windows(sized(turns), 300, 120))
     assert len(made) > 3 and all(m[2][0] == 0 for m in made) and all(len(m[0]) <= 300 for m in made)
     assert any(set(a[2][1:]) & set(b[2][1:]) for a, b in zip(made, made[1:]))
 
@@ -115,6 +115,33 @@ def test_chat_digests(spark):
     assert chat.digests(chat.format_conversations(df.where("false"))).count() == 0
 
 
+def sized(turns):
+    return [(r, t, len(chat.formatted_turn(r, t))) for r, t in turns]
+
+
+def test_chat_large_ids_and_tokens(spark):
+    from tokenizers import Tokenizer
+
+    from strataphon.llm.packing import default_tokenizer
+
+    big = 2**53 + 1
+    rows = [(big, 0, "system", "be kind"), (None, 0, "user", "x"), (-big, 0, "assistant", "a")]
+    rows += [(7, k, ["user", "assistant"][k % 2], "some words, " * (k % 9)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.format_conversations(df, 200, 60, default_tokenizer())
+    out = made.collect()
+    assert {r.conv_id for r in out} == {big, -big, None, 7}
+    vocabulary = Tokenizer.from_file(default_tokenizer())
+    for r in out:
+        whole = len(vocabulary.encode(r.formatted, add_special_tokens=False).ids)
+        assert whole <= 200 or len(r.turns) == 1
+        parts = [chat.formatted_turn(*t) for t in chat.read_back(r.formatted)]
+        assert whole == sum(len(vocabulary.encode(p, add_special_tokens=False).ids) for p in parts)
+    got = {r.conv_id: r for r in chat.digests(made).collect()}
+    text = [t for _, _, role, t in rows[3:] if role == "assistant"]
+    assert got[7].n_turns == 3000 and got[7].loss_sha256 == hashlib.sha256("".join(text).encode()).hexdigest()
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 80)] + [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(250)]

@@ -13,12 +13,9 @@ from strataphon.llm.common import Scratch, bounded_broadcast
 from strataphon.llm.jaccard_join import jaccard_rows
 from strataphon.llm.mixing import mix
 from strataphon.llm.packing import default_tokenizer, pack
-from strataphon.llm.suffix_dedup import strip_repeats
+from strataphon.llm.suffix_dedup import PASSAGE_WORDS, strip_repeats
 from strataphon.llm.toxicity import score_toxicity, train_toxicity
 
-#: A passage of this many words that occurs again is a repeat.
-PASSAGE_WORDS = 51
-
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -36,17 +33,16 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Rows are told apart by id and text: of texts that share an id only copies go. Rows of null id stay.
     """
     scratch = Scratch(spark, "near")
-    found = jaccard_rows(spark, docs, width=5, percent=80).where("doc_id is not null")
-    found = scratch.put(found.select("doc_id", "text_key", "component"), "groups")
+    found = jaccard_rows(spark, docs, width=5, percent=80, links=False).where("doc_id is not null")
+    found = scratch.put(found.groupBy("doc_id", "text_key", "component").agg(F.count(F.lit(1)).alias("n")), "groups")
     first = found.where("component is not null").groupBy("component").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("n")
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.count(F.lit(1)).alias("rows")
     )
-    first = scratch.put(first.where("n > 1").select("component", "first"), "first")
-    gone = found.join(bounded_broadcast(first, 40), "component").where(F.struct("doc_id", "text_key") != F.col("first"))
-    gone = scratch.put(gone.select("doc_id", "text_key").distinct(), "gone")
+    gone = found.join(first.where("rows > 1"), "component").where(F.struct("doc_id", "text_key") != F.col("first"))
+    gone = scratch.put(gone.select("doc_id", "text_key"), "gone")
     key = docs.withColumn("text_key", F.xxhash64("text"))
     kept = key.join(bounded_broadcast(gone, 32), ["doc_id", "text_key"], "left_anti")
-    if not found.groupBy("doc_id", "text_key").count().where("`count` > 1").isEmpty():
+    if not found.where("n > 1").isEmpty():
         once = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text_key"])
         kept = once.unionByName(kept.where("doc_id is null"))
     return kept.select(*docs.columns)

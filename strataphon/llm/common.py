@@ -18,20 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import bounded_batches, scratch_dir
 
 #: A table is broadcast only when it was counted and its rows times this estimate stay under the bound.
 BROADCAST_BYTES = 32 << 20
-#: Bytes of one Arrow batch on its way to Python, unless the session sets another bound.
-BATCH_BYTES = 4 << 20
-BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes as well as by rows, so that a batch of long texts doesn't fill a worker."""
-    if spark.conf.get(BATCH_SETTING, None) is None:
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-
 
 class Scratch:
     """Intermediate tables in the shared folder; they go with the application, or earlier through ``drop``."""
@@ -186,7 +176,7 @@ def pointer_rounds(spark: SparkSession, scratch: Scratch, edges: DataFrame) -> D
         hooks.append(hook)
         left = hook.select(F.col("id").alias("a"), F.col("up").alias("ua"))
         right = hook.select(F.col("id").alias("b"), F.col("up").alias("ub"))
-        moved = scratch.put(edges.join(left, "a").select("ua", "b"), "half").join(right, "b").where("ua <> ub")
+        moved = edges.join(left, "a").select("ua", "b").join(right, "b").where("ua <> ub")
         renamed = scratch.put(
             moved.select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct(), "edges"
         )
@@ -198,7 +188,7 @@ def pointer_rounds(spark: SparkSession, scratch: Scratch, edges: DataFrame) -> D
     for hook in reversed(hooks[:-1]):
         upper = top.select(F.col("id").alias("up"), F.col("up").alias("top"))
         top = hook.join(upper, "up", "left").select("id", F.coalesce("top", "up").alias("up"))
-        top = scratch.put(top, "tops")
-    least = scratch.put(top.groupBy("up").agg(F.min("id").alias("component")), "least")
+    top = scratch.put(top, "tops") if len(hooks) > 1 else top
+    least = top.groupBy("up").agg(F.min("id").alias("component"))
     # A root that hooked to itself is in the table; one reached only by pointers is its own smallest at worst.
     return scratch.put(top.join(least, "up").select("id", "component"), "components")

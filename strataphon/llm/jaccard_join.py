@@ -18,7 +18,7 @@ its place in the order.
 5. Rows of long runs: of a run whose members all lie in one component nothing is left to find. In others, rows
    meet in random buckets of about ``MEET``, pairs of different components are verified, components are renewed,
    and so on, for ``WAVES`` turns or until few pairs are left (``CHEAP`` a row), which are all verified. Where more
-   are left, the run is dealt in blocks as in step 6.
+   are left, runs, or groups of runs with common rows, are dealt in blocks as in step 6.
 6. A class whose component holds a link between any two of its classes has its number of links from them. Components
    with other pairs left are dealt in blocks of about ``BLOCK_SETS`` sets or ``BLOCK_GRAMS`` n-grams; every two blocks
    meet in one task, which counts all their overlaps. The work is quadratic in such a component, the memory bounded.
@@ -42,7 +42,7 @@ FRAGMENTS = 4
 #: Cells of the histogram whose common mass bounds an overlap from above.
 CELLS = 128
 RUN = 32
-MEET, CHEAP, WAVES = 16, 32, 4
+MEET, CHEAP, WAVES = 16, 32, 1
 SPLIT_RUN = 50_000
 SEEN = 200_000
 BLOCK_SETS, BLOCK_GRAMS = 1024, 1 << 19
@@ -506,9 +506,7 @@ class Join:
             if not rows:
                 break
             if cross > CHEAP * rows and wave == WAVES:
-                sizes = mixed.join(self.classes.select("fp", "n"), "fp").groupBy(F.col("token").alias("grp"))
-                sizes = put(sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")), "run-sizes")
-                spans = self.blocks(mixed.select(F.col("token").alias("grp"), "fp"), sizes).where("to is not null")
+                spans = self.blocks(*self.groups(mixed)).where("to is not null")
                 more = put(spans.select(F.least("fp", "to").alias("a"), F.greatest("fp", "to").alias("b")).distinct(), "spans")
                 named = self.renamed(named, more)  # edges span components and need not be links
                 break
@@ -521,7 +519,24 @@ class Join:
                 links, named = links.union(more), self.renamed(named, more)
             if last:
                 break
-        self.links, self.named = put(links.distinct(), "all-links"), named
+        self.links, self.named = links, named
+
+    def groups(self, mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(members (grp, fp), sizes (grp, k, grams)) of groups that hold the rows of each run together: the runs themselves,
+        or what runs with common rows join to, whichever has fewer pairs. Runs of one passage have much the same rows."""
+        put = self.scratch.put
+        runs = put(mixed.select(F.col("token").alias("grp"), "fp").distinct(), "run-members")
+        first = runs.groupBy("grp").agg(F.min("fp").alias("a"))
+        edges = runs.join(first, "grp").where("a <> fp").select("a", F.col("fp").alias("b"))
+        joined = pointer_rounds(self.spark, self.scratch, edges).select(F.col("component").alias("grp"), F.col("id").alias("fp"))
+        best = None
+        for members in (runs, joined):
+            sizes = members.join(self.classes.select("fp", "n"), "fp").groupBy("grp")
+            sizes = put(sizes.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")), "run-sizes")
+            pairs = sizes.agg(F.sum(F.col("k").cast("double") * F.col("k"))).first()[0] or 0.0
+            if best is None or pairs < best[0]:
+                best = pairs, members, sizes
+        return best[1], best[2]
 
     def mixed(self, runs: DataFrame, named: DataFrame) -> tuple[DataFrame, int, int]:
         """(rows of runs with several components, their number, the number of pairs across the largest one)."""
@@ -565,6 +580,7 @@ class Join:
     def counted(self) -> DataFrame:
         """``fp, rep, component, n_links`` of every class."""
         put = self.scratch.put
+        self.links = put(self.links.distinct(), "all-links")
         classes = self.classes.join(self.named, "fp", "left")
         classes = put(classes.select("fp", "rep", "n", "size", F.coalesce("component", "fp").alias("component")), "linked")
         per = classes.groupBy("component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("grams")).where("k > 1")
@@ -584,15 +600,19 @@ class Join:
         return put(classes.select("fp", "rep", "component", "n_links"), "counted")
 
 
-def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80, links: bool = True) -> DataFrame:
     """``doc_id, text_key, n_shingles, component, component_id, n_links`` of every row of ``docs (doc_id, text)``.
 
     As ``jaccard_components``; ``doc_id`` and ``text_key``, the hash of the text, tell rows of one id apart.
     ``component`` names the component by a set's fingerprint, whoever shares its ids, and is null without a set.
+    Without ``links`` links are not counted, and there is no column ``n_links``.
     """
     join = Join(spark, docs, width, percent)
     join.survey()
     join.link()
+    if not links:
+        named = join.info.join(join.named, "fp", "left")
+        return named.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component", "fp").alias("component"))
     classes = join.counted()
     names = classes.groupBy("component").agg(F.min("rep").alias("name"))
     classes = join.scratch.put(classes.join(names, "component").select("fp", "component", "name", "n_links"), "named")

@@ -1,46 +1,69 @@
-"""Repeated byte strings of a fixed length, by a depth-limited most-significant-digit radix sort of suffixes.
+"""Repeated strings of a fixed length, by a depth-limited most-significant-digit radix sort of suffixes.
 
-A full suffix sort orders suffixes to any depth; here only the first ``WINDOW`` bytes count, and suffixes that
-turn out to be alone leave the sort after the pass that shows it. Each pass looks at a longer digit:
+A full suffix sort orders suffixes to any depth; here only the first ``window`` symbols count, and suffixes that
+turn out to be alone leave the sort after the pass that shows it. Symbols are a text's bytes, or its words, each a
+64-bit hash; both kinds go through the passes together. Each pass looks at a longer digit:
 
-1. Content picks the suffixes of the first pass: in every window the ``SEED``-byte string of least hash. Equal
-   windows pick the same place, so two equal windows always meet. The first digit is that string; a suffix
-   whose digit occurs once in all texts leaves.
-2. The second digit is all that windows around the pick can cover, ``WINDOW - SEED`` bytes before it to
-   ``WINDOW`` bytes after, clipped to the text. If it occurs again, every window around the pick is repeated.
+1. Content picks the suffixes of the first pass: in every window the ``seed``-symbol string of least hash. Equal
+   windows pick the same place, so two equal windows always meet. The first digit is that string.
+2. The second digit is all that windows around the pick can cover, ``window - seed`` symbols before it to
+   ``window`` after, clipped to the text. If it occurs again, every window around the pick is repeated. A suffix
+   whose first digit occurs once, or only with repeated second digits, leaves.
 3. What is left lies near the edges of repeats. Of each first digit, the distinct second digits send their
-   bytes to one place and are refined to the full depth: each window around the pick by its own hash. Equal
-   groups of two or more are exactly the repeated windows. First digits with more than ``HOT`` distinct second
-   digits are refined through a shuffle by window instead, so no task holds them.
-
-Positions that a repeated window covers are removed. Texts are never compared pairwise, all counts are
-sums, and the largest thing a task holds is one text or one group of bounded size. Hashes have 64 bits.
-
-With ``words`` the same passes run over a text's words, each a 64-bit hash, in place of its bytes.
+   symbols to one place and are refined to the full depth by ranges of a window's place around the pick. What all
+   windows of a range have in common is its core, what they cover together its hull. A core that occurs once ends
+   a range: none of its windows is repeated. A hull that occurs again ends it, too: all are. Other ranges are cut
+   in ``FAN`` parts each, down to single windows.
+4. First digits with more than ``GROUP`` distinct second digits would make such a place large. Theirs take the same
+   steps as passes over all texts, in which cores and hulls are counted by key and no task gathers a first digit.
+
+Positions that a repeated window covers are removed. Texts are dealt once, bucketed by row; lists of places come
+to them. Counts are sums that are made in part before each shuffle; the largest thing a task holds is one text, or one
+group of bounded size. Hashes have 64 bits.
 """
 
 from __future__ import annotations
 
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_broadcast, held
+from .common import Scratch, held, lean, raw_texts, release
 from .shingles import WordHashes, mix
 
 WINDOW = 400
-HOT = 50_000
-BLOCK = 1 << 22
-GROUP_ROWS = 2000
+#: A passage of this many words that occurs again is a repeat.
+PASSAGE_WORDS = 51
+#: Distinct second digits that may meet in one task, and bytes of contexts that are refined at once.
+GROUP, SLICE = 1000, 1 << 20
+#: Parts into which a range of places is cut.
+FAN = 8
+BLOCK = 1 << 19
+YIELD_BYTES = 4 << 20
 
 _B = np.uint64(0x5851F42D4C957F2D)
 _B_INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+class Kind(NamedTuple):
+    """What is compared: windows of so many bytes or words, and the length of the first digit."""
+
+    words: bool
+    window: int
+    seed: int
+
+
+def kinds(window: int | None, words: int | None) -> tuple[Kind, ...]:
+    made = [Kind(w, n, max(1, n // 2)) for w, n in ((False, window), (True, words)) if n]
+    return tuple(made)
+
+
 class Powers:
     """Powers of the base and of its inverse modulo 2**64, grown as needed; ``words`` caches word hashes."""
 
@@ -107,15 +130,11 @@ def distinct(seed: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, inverse, count
 
 
-def raw(text) -> np.ndarray:
-    return np.frombuffer((text.as_py() or "").encode("utf-8"), np.uint8)
-
-
-def symbols(text, words: bool) -> np.ndarray:
+def symbols(b: np.ndarray, words: bool) -> np.ndarray:
     """A text's bytes, or the hashes of its words: runs of bytes other than blank and \\t to \\r."""
     if not words:
-        return raw(text)
-    found = (text.as_py() or "").encode("utf-8").split()
+        return b
+    found = b.tobytes().split()
     return np.fromiter(map(held("suffixes", Powers).words.__getitem__, found), np.uint64, len(found))
 
 
@@ -123,214 +142,344 @@ def longs(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
-def survey(window: int, seed: int, words: bool):
-    def step(batches):
-        for batch in batches:
-            out = [[], [], [], [], []]
-            for uid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                at, h, span = picks(symbols(text, words), window, seed)
-                if len(at):
-                    first, _, count = distinct(h, span)
-                    for o, x in zip(out, (h[first], span[first], np.full(len(first), uid), at[first], count)):
-                        o.append(x)
-            if out[0]:
-                cols = [np.concatenate(o) for o in out]
-                yield pa.RecordBatch.from_arrays(
-                    [longs(cols[0]), longs(cols[1]), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())],
-                    ["seed", "span", "uid", "pos", "m"],
-                )
+_PICK_SQL = "words boolean, seed long, span long, uid long, pos int, m int"
 
-    return step
 
+def survey(plan: tuple[Kind, ...]):
+    """Texts (uid, text) -> one row for each distinct second digit of a text; ``m`` counts its places."""
 
-def contexts(window: int, seed: int, words: bool):
-    """(text, list of (pos, seed, c)) -> rows with the bytes, or word hashes, around each pick."""
+    def made(out):
+        words, seed, span, uid, pos, m = (np.concatenate(o) for o in zip(*out))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words), longs(seed), longs(span), pa.array(uid), pa.array(pos, pa.int32()), pa.array(m, pa.int32())],
+            ["words", "seed", "span", "uid", "pos", "m"],
+        )
 
     def step(batches):
+        out, size = [], 0
         for batch in batches:
-            rows = []
-            for uid, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                b = symbols(text, words)
-                for p in places:
-                    low = max(0, p["pos"] - (window - seed))
-                    rows.append((p["seed"], uid, p["pos"], p["c"], p["pos"] - low, b[low : p["pos"] + window].tobytes()))
-                if len(rows) > 20_000:
-                    yield _contexts(rows)
-                    rows = []
-            if rows:
-                yield _contexts(rows)
+            for uid, b in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
+                for words, window, seed in plan:
+                    if len(b) < (2 * window - 1 if words else window):
+                        continue
+                    at, h, span = picks(symbols(b, words), window, seed)
+                    if not len(at):
+                        continue
+                    first, _, count = distinct(h, span)
+                    n = len(first)
+                    out.append((np.full(n, words), h[first], span[first], np.full(n, uid), at[first], count))
+                    size += 40 * n
+                if size > YIELD_BYTES:
+                    yield made(out)
+                    out, size = [], 0
+        if out:
+            yield made(out)
 
-    return step
+    return lean(step)
 
 
 _CONTEXT = pa.schema(
-    [("seed", pa.int64()), ("uid", pa.int64()), ("pos", pa.int32()), ("c", pa.int64()), ("left", pa.int32()), ("bytes", pa.binary())]
+    [("words", pa.bool_()), ("seed", pa.int64()), ("uid", pa.int64()), ("pos", pa.int32()), ("c", pa.int64()), ("left", pa.int32()), ("bytes", pa.binary())]
 )
-_CONTEXT_SQL = "seed long, uid long, pos int, c long, left int, bytes binary"
-
-
-def _contexts(rows):
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXT)], schema=_CONTEXT)
-
-
-def window_keys(seeds: np.ndarray, left: list[int], texts: list[bytes], window: int, seed: int, words: bool):
-    """(row, d, key) of every window around the picks, d the pick's place in the window."""
-    b = np.frombuffer(b"".join(texts), np.uint64 if words else np.uint8)
-    sums, down = prefix_sums(b)
-    sizes = np.array([len(t) for t in texts]) // b.itemsize
-    base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    n = np.maximum(sizes - window + 1, 0)  # windows inside each context; each holds the pick
-    row = np.repeat(np.arange(len(texts)), n)
-    start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    d = np.asarray(left)[row] - start
-    ok = (d >= 0) & (d <= window - seed)
-    row, start, d = row[ok], start[ok], d[ok]
-    i = base[row] + start
-    value = mix((sums[i + window] - sums[i]) * down[i])
-    return row, d, mix(value + mix(seeds[row] + mix(d.astype(np.uint64))))
-
-
-def intervals(uid, pos, d, window: int):
-    """Rows (uid, pos, d) sorted by (uid, pos, d) -> merged intervals (uid, start, end)."""
-    if not len(uid):
-        return uid, pos, pos
-    cut = np.flatnonzero(np.concatenate([[True], (uid[1:] != uid[:-1]) | (pos[1:] != pos[:-1]) | (d[1:] != d[:-1] + 1)]))
-    last = np.concatenate([cut[1:], [len(uid)]]) - 1
-    return uid[cut], pos[cut] - d[last], pos[cut] - d[cut] + window
-
-
-def refine(window: int, seed: int, words: bool):
-    """Contexts sorted by seed -> intervals that repeated windows cover."""
-
-    def work(rows):
-        seeds = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-        row, d, key = window_keys(seeds, [r[4] for r in rows], [r[5] for r in rows], window, seed, words)
-        c = np.array([r[3] for r in rows])
-        _, inverse = np.unique(key, return_inverse=True)
-        total = np.bincount(inverse, weights=np.minimum(c, 2)[row]) if len(key) else np.zeros(0)
-        hit = (total[inverse] >= 2) & (c[row] == 1) if len(key) else np.zeros(0, bool)
-        row, d = row[hit], d[hit]
-        order = np.lexsort((d, row))
-        row, d = row[order], d[order]
-        uid, pos = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-        # a row is one (uid, pos), so row numbers tell runs apart
-        _, start, end = intervals(row, pos[row], d, window)
-        cut = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (d[1:] != d[:-1] + 1)])) if len(row) else row
-        return pa.RecordBatch.from_arrays(
-            [pa.array(uid[row[cut]], pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())],
-            ["uid", "start", "end"],
-        )
+_CONTEXT_SQL = "words boolean, seed long, uid long, pos int, c long, left int, bytes binary"
+
+
+def contexts(plan: tuple[Kind, ...]):
+    """(uid, text, places) -> rows with the symbols around each place."""
+    by = {k.words: k for k in plan}
+
+    def made(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXT)], schema=_CONTEXT)
 
     def step(batches):
-        rows, last = [], 0
+        rows, size = [], 0
         for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns)):
-                if rows and r[0] != rows[-1][0]:
-                    last = len(rows)
-                    if last >= GROUP_ROWS:
-                        yield work(rows)
-                        rows = []
-                rows.append(r)
+            places = batch.column(2)
+            at, flat = places.offsets.to_numpy(), places.values
+            cols = [flat.field(f).to_numpy(zero_copy_only=False) for f in ("words", "pos", "seed", "c")]
+            for k, (uid, b) in enumerate(zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)))):
+                part = [c[at[k] : at[k + 1]] for c in cols]
+                both = {w: symbols(b, w) for w in np.unique(part[0]).tolist()}
+                for words, pos, first, c in zip(*(p.tolist() for p in part)):
+                    kind = by[words]
+                    low = max(0, pos - (kind.window - kind.seed))
+                    raw = both[words][low : pos + kind.window].tobytes()
+                    rows.append((words, first, uid, pos, c, pos - low, raw))
+                    size += len(raw) + 40
+                    if size > YIELD_BYTES:
+                        yield made(rows)
+                        rows, size = [], 0
         if rows:
-            yield work(rows)
+            yield made(rows)
+
+    return lean(step)
+
+
+class Contexts:
+    """Contexts of one kind: their columns, all symbols in a row, and where each begins."""
+
+    def __init__(self, batch: pa.RecordBatch, words: bool):
+        batch = batch.filter(pc.equal(batch.column("words"), words))
+        self.seed, self.uid, self.pos, self.c, self.left = (
+            batch.column(c).to_numpy(zero_copy_only=False) for c in ("seed", "uid", "pos", "c", "left")
+        )
+        parts = raw_texts(batch.column("bytes"))
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        self.flat = flat.view(np.uint64) if words else flat
+        self.size = np.array([len(p) for p in parts], np.int64) // self.flat.itemsize
+        self.base = np.cumsum(self.size) - self.size
+        self.sums, self.down = prefix_sums(self.flat)
+
+    def spans(self, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Hashes of ``length`` symbols from ``start`` within contexts ``row``."""
+        i = self.base[row] + start
+        return mix((self.sums[i + length] - self.sums[i]) * self.down[i])
+
+
+class Ranges(NamedTuple):
+    """Ranges of the pick's place d in a window, d0 to d1, of some contexts."""
+
+    row: np.ndarray
+    d0: np.ndarray
+    d1: np.ndarray
+
+    def of(self, keep: np.ndarray) -> Ranges:
+        return Ranges(*(x[keep] for x in self))
+
+
+def cut(ranges: Ranges, rows: Contexts, kind: Kind) -> Ranges:
+    """The ``FAN`` parts of each range, as far as a window of the context lies in them."""
+    n = ranges.d1 - ranges.d0 + 1
+    width = np.maximum(-(-n // FAN), 1)
+    parts = -(-n // width)
+    of = np.repeat(np.arange(len(n)), parts)
+    d0 = ranges.d0[of] + (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * width[of]
+    out = Ranges(ranges.row[of], d0, np.minimum(ranges.d1[of], d0 + width[of] - 1))
+    low, high = places(rows, kind)
+    return out.of((out.d0 <= high[out.row]) & (out.d1 >= low[out.row]))
+
+
+def places(rows: Contexts, kind: Kind) -> tuple[np.ndarray, np.ndarray]:
+    """The least and greatest place of the pick in a window that lies in the context."""
+    return np.maximum(kind.window - (rows.size - rows.left), 0), np.minimum(rows.left, kind.window - kind.seed)
+
+
+def whole(rows: Contexts, kind: Kind) -> Ranges:
+    row = np.arange(len(rows.size))
+    return Ranges(row, np.zeros_like(row), np.full_like(row, kind.window - kind.seed))
+
+
+def digits(ranges: Ranges, rows: Contexts, kind: Kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key of the core, key of the hull, is the hull in the context) of each range, with first digit and range in it."""
+    row, d0, d1 = ranges
+    tag = mix(rows.seed[row].view(np.uint64) + mix((d0 * (2 * kind.window) + d1).astype(np.uint64)))
+    core = mix(rows.spans(row, rows.left[row] - d0, kind.window - (d1 - d0)) + tag)
+    low, high = places(rows, kind)
+    inside = (d0 >= low[row]) & (d1 <= high[row])
+    hull = np.zeros(len(row), np.uint64)
+    at = np.flatnonzero(inside)
+    hull[at] = mix(rows.spans(row[at], rows.left[row[at]] - d1[at], (kind.window + d1 - d0)[at]) + tag[at] + np.uint64(1))
+    return core, hull, inside
+
+
+def slices(batches, group: str | None, symbols_at_once: int = SLICE):
+    """Batches cut into pieces of bounded size; rows of equal ``group``, which come sorted, stay together."""
+    rest = None
+    for batch in batches:
+        if rest is not None:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()
+            batch = batch[0] if batch else rest
+        if not batch.num_rows:
+            continue
+        if group is None:
+            cuts = np.arange(batch.num_rows + 1)
+        else:
+            g = batch.column(group).to_numpy(zero_copy_only=False)
+            cuts = np.concatenate([[0], np.flatnonzero(g[1:] != g[:-1]) + 1])
+        sizes = pc.binary_length(batch.column("bytes")).to_numpy(zero_copy_only=False)
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        start = 0
+        for a, b in zip(cuts, cuts[1:]):
+            if b > start and total[b] - total[start] >= symbols_at_once:
+                yield batch.slice(start, b - start)
+                start = int(b)
+        rest = batch.slice(start) if start < batch.num_rows else None
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+_COVER_SQL = "words boolean, uid long, a int, b int"
+
+
+def cover(words: bool, uid, start, end) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(uid), words)), pa.array(uid, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())],
+        ["words", "uid", "a", "b"],
+    )
+
+
+def counted(key: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The sum of the weights of all rows of equal key, for each row."""
+    _, inverse = np.unique(key, return_inverse=True)
+    return np.bincount(inverse, weights=weight)[inverse] if len(key) else np.zeros(0)
 
-    return step
 
+def hits(rows: Contexts, ranges: Ranges, kind: Kind) -> pa.RecordBatch:
+    row, d0, d1 = ranges
+    return cover(kind.words, rows.uid[row], rows.pos[row] - d1, rows.pos[row] - d0 + kind.window)
+
+
+def refine(plan: tuple[Kind, ...]):
+    """Contexts sorted by first digit -> intervals that repeated windows cover."""
+
+    def work(batch, kind: Kind):
+        rows = Contexts(batch, kind.words)
+        ranges = whole(rows, kind)
+        while len(ranges.row):
+            ranges = cut(ranges, rows, kind)
+            core, hull, inside = digits(ranges, rows, kind)
+            weight = np.minimum(rows.c, 2)[ranges.row]
+            again = counted(core, weight) > 1
+            ranges, core, hull, inside, weight = ranges.of(again), core[again], hull[again], inside[again], weight[again]
+            found = inside.copy()
+            found[inside] = counted(hull[inside], weight[inside]) > 1
+            single = weight == 1  # of the others all is known: they are partners only
+            if (found & single).any():
+                yield hits(rows, ranges.of(found & single), kind)
+            open_ = single & ~found & (ranges.d1 > ranges.d0)
+            ranges = ranges.of((counted(core, open_) > 0) & (ranges.d1 > ranges.d0))
 
-def hot_windows(window: int, seed: int, words: bool):
     def step(batches):
-        for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns]
-            for k in range(0, batch.num_rows, GROUP_ROWS):
-                part = [c[k : k + GROUP_ROWS] for c in cols]
-                row, d, key = window_keys(np.array(part[0], np.int64).view(np.uint64), part[4], part[5], window, seed, words)
-                uid, pos, c = (np.array(part[j], np.int64)[row] for j in (1, 2, 3))
-                yield pa.RecordBatch.from_arrays(
-                    [longs(key), pa.array(uid), pa.array(pos, pa.int32()), pa.array(d, pa.int32()), pa.array(c)],
-                    ["key", "uid", "pos", "d", "c"],
-                )
+        for part in slices(batches, "seed"):
+            for kind in plan:
+                yield from work(part, kind)
 
-    return step
+    return lean(step)
 
 
-def named(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_uid", F.xxhash64("doc_id", "text"))
+_RANGE_SQL = "words boolean, uid long, pos int, c long, d0 int, d1 int, core long, hull long"
 
 
-def covers(spark: SparkSession, docs: DataFrame, window: int, hot: int = HOT, words: bool = False) -> DataFrame:
-    """``uid, resolved array<int>`` (first places of repeated second digits) and ``found`` (intervals) of ``docs``."""
-    seed = window // 2
-    scratch = Scratch(spark, "suffixes")
-    texts = named(docs).select("_uid", "text")
-    rows = scratch.put(
-        texts.mapInArrow(survey(window, seed, words), "seed long, span long, uid long, pos int, m int"), "picks"
-    )
-    live = scratch.put(
-        rows.groupBy("seed").agg(F.sum("m").alias("n")).where("n > 1").select("seed"), "live"
-    )
-    rows = scratch.put(rows.join(bounded_broadcast(live, 24), "seed"), "live-picks")
-    second = scratch.put(
-        rows.groupBy("seed", "span").agg(F.sum("m").alias("c"), F.min(F.struct("uid", "pos")).alias("at")), "second"
-    )
-    open_seeds = scratch.put(
-        second.groupBy("seed").agg(F.min("c").alias("least"), F.count(F.lit(1)).alias("k")).where("least = 1 and k > 1"),
-        "open",
-    )
-    place = second.join(bounded_broadcast(open_seeds.select("seed", "k"), 32), "seed").select(
-        F.col("at.uid").alias("_uid"), F.struct(F.col("at.pos").alias("pos"), "seed", "c").alias("p"), "k"
-    )
-    found = []
-    for is_hot in (False, True):
-        mine = place.where(F.col("k") > hot if is_hot else F.col("k") <= hot)
-        if is_hot and mine.isEmpty():
-            continue
-        lists = scratch.put(mine.groupBy("_uid").agg(F.collect_list("p").alias("places")), "places")
-        sent = texts.join(bounded_broadcast(lists, 48, more_bytes="24 * size(places)"), "_uid").select("_uid", "text", "places")
-        # rows that repeat a document repeat its uid; one of them is enough
-        sent = sent.mapInArrow(contexts(window, seed, words), _CONTEXT_SQL)
-        if not is_hot:
-            sent = sent.repartition("seed").sortWithinPartitions("seed", "uid", "pos")
-            found.append(sent.mapInArrow(refine(window, seed, words), "uid long, start int, end int"))
-            continue
-        keys = scratch.put(sent.mapInArrow(hot_windows(window, seed, words), "key long, uid long, pos int, d int, c long"), "hot")
-        twice = scratch.put(
-            keys.groupBy("key").agg(F.sum("c").alias("n")).where("n > 1").select("key"), "hot-twice"
-        )
-        hit = keys.where("c = 1").join(twice, "key")
-        found.append(hit.select("uid", (F.col("pos") - F.col("d")).alias("start"), (F.col("pos") - F.col("d") + window).alias("end")))
-    cover = found[0] if len(found) == 1 else found[0].union(found[1])
-    cover = scratch.put(cover, "cover")
-    done = rows.join(bounded_broadcast(second.where("c > 1").select("seed", "span"), 32), ["seed", "span"])
-    parts = done.select("uid", F.col("pos").alias("a"), F.lit(None).cast("int").alias("b")).union(cover)
-    lists = scratch.put(
-        parts.groupBy("uid").agg(
-            F.collect_list(F.when(F.col("b").isNull(), F.col("a"))).alias("resolved"),
-            F.collect_list(F.when(F.col("b").isNotNull(), F.struct("a", "b"))).alias("found"),
-        ),
-        "lists",
-    )
-    return bounded_broadcast(lists, 64, more_bytes="4 * size(resolved) + 24 * size(found)")
+def range_digits(plan: tuple[Kind, ...]):
+    """Contexts, with ``ranges`` after the first pass -> the digits of the parts of their ranges."""
+
+    def step(batches):
+        for part in slices(batches, None):
+            for kind in plan:
+                rows = Contexts(part, kind.words)
+                ranges = whole(rows, kind)
+                if "ranges" in part.schema.names:
+                    lists = part.filter(pc.equal(part.column("words"), kind.words)).column("ranges")
+                    of = pc.list_parent_indices(lists).to_numpy()
+                    flat = pc.list_flatten(lists)
+                    ranges = Ranges(of, *(flat.field(f).to_numpy().astype(np.int64) for f in ("d0", "d1")))
+                if not len(ranges.row):
+                    continue
+                ranges = cut(ranges, rows, kind)
+                core, hull, inside = digits(ranges, rows, kind)
+                row = ranges.row
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(row), kind.words)), pa.array(rows.uid[row]), pa.array(rows.pos[row], pa.int32()),
+                        pa.array(rows.c[row]), pa.array(ranges.d0, pa.int32()), pa.array(ranges.d1, pa.int32()),
+                        longs(core), pa.array(hull.view(np.int64), mask=~inside),
+                    ],
+                    ["words", "uid", "pos", "c", "d0", "d1", "core", "hull"],
+                )
+
+    return lean(step)
 
 
-def repeated(spark: SparkSession, docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
-    """``docs`` with ``resolved`` and ``found`` of their bytes.
+def large_groups(scratch: Scratch, sent: DataFrame, plan: tuple[Kind, ...]) -> DataFrame:
+    """Intervals of the contexts ``sent``: the steps of ``refine`` with keyed counts. No task gathers a first digit's rows.
 
-    Internal form; ``strip_repeats`` and ``digest`` turn it into bytes.
+    A window is at most ``FAN ** passes`` places wide, so the number of passes is fixed.
     """
-    lists = covers(spark, docs, window, hot)
-    return named(docs).join(lists.withColumnRenamed("uid", "_uid"), "_uid", "left").drop("_uid")
+    window = F.element_at(F.create_map(*[x for k in plan for x in (F.lit(k.words), F.lit(k.window))]), F.col("words"))
+    sent = scratch.put(sent, "large")
+    part, found = sent, []
+    while True:
+        made = scratch.put(part.mapInArrow(range_digits(plan), _RANGE_SQL), "ranges")
+        cores = made.groupBy("core").agg(F.sum("c").alias("n")).where("n > 1").select("core")
+        made = scratch.put(made.join(cores, "core"), "cores")
+        hulls = made.where("hull is not null").groupBy("hull").agg(F.sum("c").alias("n")).where("n > 1")
+        made = made.join(hulls.select("hull", F.lit(True).alias("again")), "hull", "left")
+        made = scratch.put(made.withColumn("again", F.coalesce("again", F.lit(False))), "hulls")
+        hit = made.where("c = 1 and again")
+        found.append(hit.select("words", "uid", (F.col("pos") - F.col("d1")).alias("a"), (F.col("pos") - F.col("d0") + window).alias("b")))
+        open_ = made.where("c = 1 and not again and d1 > d0").select("core").distinct()
+        left = made.where("d1 > d0").join(open_, "core").groupBy("words", "uid", "pos")
+        left = scratch.put(left.agg(F.collect_set(F.struct("d0", "d1")).alias("ranges")), "ranges-left")  # a window's places at most
+        if left.isEmpty():
+            break
+        part = sent.join(left, ["words", "uid", "pos"]).select(*_CONTEXT.names, "ranges")
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out
+
+
+def repeated(spark: SparkSession, docs: DataFrame, window: int | None = WINDOW, words: int | None = None, group: int = GROUP) -> DataFrame:
+    """``docs`` with ``_uid`` and lists of what repeats in each: ``_resolved`` (first places of repeated second digits)
+    and ``_found`` (intervals), by bytes and by words. Internal form; ``digest`` and ``strip_repeats`` read it.
+    """
+    plan, scratch = kinds(window, words), Scratch(spark, "suffixes")
+    # the partition keeps one document that is repeated very often from meeting in one bucket
+    texts = docs.withColumn("_uid", F.xxhash64(F.spark_partition_id(), "doc_id", "text"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    texts = scratch.deal(texts, "_uid", size, "texts")
+    rows = scratch.put(texts.select("_uid", "text").mapInArrow(survey(plan), _PICK_SQL), "picks")
+    twice = scratch.put(rows.groupBy("seed").agg(F.sum("m").alias("n")).where("n > 1").select("seed"), "first-digits")
+    live = scratch.put(rows.join(twice, "seed"), "live")  # most first digits occur once
+    scratch.drop(rows)
+    release(spark)
+    second = live.groupBy("seed", "span").agg(
+        F.first("words").alias("words"), F.sum("m").alias("c"), F.min(F.struct("uid", "pos")).alias("at")
+    )
+    second = scratch.put(second, "second")
+    first = second.groupBy("seed").agg(F.min("c").alias("least"), F.count(F.lit(1)).alias("k"))
+    first = scratch.put(first.where("least = 1 and k > 1").select("seed", "k"), "open")
+    place = second.join(first, "seed").select(
+        F.col("at.uid").alias("_uid"), F.struct("words", F.col("at.pos").alias("pos"), "seed", "c").alias("p"), "k"
+    )
+    place = scratch.put(place, "places")
+    release(spark)
+
+    def sent(part: DataFrame) -> DataFrame:
+        lists = part.groupBy("_uid").agg(F.collect_list("p").alias("places")).hint("shuffle_hash")
+        # rows that repeat a document within a partition share its uid; whatever they send twice counts once below
+        found = texts.select("_uid", "text").join(lists, "_uid").select("_uid", "text", "places")
+        return found.mapInArrow(contexts(plan), _CONTEXT_SQL)
+
+    small = sent(place.where(F.col("k") <= group)).repartition("seed").sortWithinPartitions("seed", "uid", "pos")
+    found = scratch.put(small.mapInArrow(refine(plan), _COVER_SQL), "cover")
+    large = place.where(F.col("k") > group)
+    if not large.isEmpty():
+        found = found.union(scratch.put(large_groups(scratch, sent(large), plan), "large-cover"))
+    done = live.join(second.where("c > 1").select("seed", "span"), ["seed", "span"])
+    parts = done.select("words", "uid", F.col("pos").alias("a"), F.lit(None).cast("int").alias("b")).union(found)
+    whole, piece = F.col("b").isNull(), F.struct("a", "b")
+    lists = parts.groupBy(F.col("uid").alias("_uid")).agg(
+        F.collect_list(F.when(whole & ~F.col("words"), F.col("a"))).alias("_resolved"),
+        F.collect_list(F.when(~whole & ~F.col("words"), piece)).alias("_found"),
+        F.collect_list(F.when(whole & F.col("words"), F.col("a"))).alias("_w_resolved"),
+        F.collect_list(F.when(~whole & F.col("words"), piece)).alias("_w_found"),
+    )
+    lists = scratch.put(lists, "lists")
+    release(spark)
+    return texts.join(lists.hint("shuffle_hash"), "_uid", "left")
 
 
-def removed_mask(b: np.ndarray, resolved, found, window: int) -> np.ndarray:
+def removed_mask(b: np.ndarray, resolved, found, kind: Kind) -> np.ndarray:
     """Symbols of one text that repeated windows cover."""
     edge = np.zeros(len(b) + 1, np.int64)
-    if resolved:
-        at, h, span = picks(b, window, window // 2)
+    if resolved is not None and len(resolved):
+        at, h, span = picks(b, kind.window, kind.seed)
         _, group, _ = distinct(h, span)
         wanted = np.isin(at, np.asarray(resolved))
         at = at[np.isin(group, group[wanted])]
-        np.add.at(edge, np.maximum(at - (window - window // 2), 0), 1)
-        np.add.at(edge, np.minimum(at + window, len(b)), -1)
+        np.add.at(edge, np.maximum(at - (kind.window - kind.seed), 0), 1)
+        np.add.at(edge, np.minimum(at + kind.window, len(b)), -1)
     for f in found or ():
         edge[f["a"]] += 1
         edge[f["b"]] -= 1
@@ -352,24 +501,46 @@ def runs(mask: np.ndarray) -> int:
     return int(np.count_nonzero(np.diff(np.concatenate([[0], mask.astype(np.int8)])) == 1))
 
 
-def digest(found: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of what ``repeated`` found."""
+LISTS = ["_resolved", "_found", "_w_resolved", "_w_found"]
+
+
+def masks(batch: pa.RecordBatch, plan: tuple[Kind, ...]):
+    """(bytes, mask of symbols or None for each kind) of each text; None where nothing of it repeats."""
+    lists = [batch.column(batch.schema.get_field_index(c)) for c in LISTS]
+    for k, b in enumerate(raw_texts(batch.column(batch.schema.get_field_index("text")))):
+        own = [x[k].as_py() for x in lists]
+        out = {}
+        for kind in plan:
+            resolved, found = own[2:] if kind.words else own[:2]
+            out[kind.words] = removed_mask(symbols(b, kind.words), resolved, found, kind) if resolved or found else None
+        yield b, out.get(False), out.get(True)
+
+
+def digest(found: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, n_passages`` of what ``repeated`` found.
+
+    ``n_passages`` counts the maximal runs of words that repeated passages of ``words`` words cover; they are reported
+    only, bytes go by ``window``. It is null without ``words``.
+    """
+    plan = kinds(window, words)
 
     def step(batches):
         for batch in batches:
             out = []
-            for text, resolved, spans in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                b = raw(text)
-                mask = removed_mask(b, resolved, spans, window) if resolved or spans else np.zeros(len(b), bool)
-                out.append((len(b), int(mask.sum()), runs(mask), hashlib.sha256(b[~mask].tobytes()).hexdigest()))
-            cols = list(zip(*out)) if out else [[]] * 4
+            for b, gone, passages in masks(batch, plan):
+                kept = b if gone is None else b[~gone]
+                n_spans = 0 if gone is None else runs(gone)
+                n_passages = None if words is None else 0 if passages is None else runs(passages)
+                out.append((len(b), len(b) - len(kept), n_spans, hashlib.sha256(kept.tobytes()).hexdigest(), len(kept), n_passages))
+            cols = list(zip(*out)) if out else [[]] * 6
+            types = [pa.int64()] * 3 + [pa.string()] + [pa.int64()] * 2
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [batch.column(0), *[pa.array(c, t) for c, t in zip(cols, types)]],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "n_passages"],
             )
 
-    return found.select("doc_id", "text", "resolved", "found").mapInArrow(
-        step, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return found.select("doc_id", "text", *LISTS).mapInArrow(
+        lean(step), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, n_passages long"
     )
 
 
@@ -379,42 +550,31 @@ def strip_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, wo
 
     All occurrences go, the first included; texts are judged as they come in. Bytes of a character that was
     cut in two go with it. A null text stays null, a text shorter than the window as it is. Repeated rows are
-    repeats of each other. Rows and columns stay; an empty table gives an empty table. A column ``resolved``
-    or ``found`` of the input is renamed meanwhile.
+    repeats of each other. Rows and columns stay, whatever the columns' names; an empty table gives an empty table.
     """
-    own = docs.columns
-    safe = docs.select(*[F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"c{k}_{c}") for k, c in enumerate(own)])
-    found = repeated(spark, safe, window)
-    if words:
-        lists = covers(spark, safe, words, words=True).toDF("_uid", "w_resolved", "w_found")
-        found = named(found).join(lists, "_uid", "left").drop("_uid")
-    else:
-        found = found.withColumns({c: F.lit(None).cast(found.schema[c[2:]].dataType) for c in ("w_resolved", "w_found")})
-    at = found.columns.index("text")
-    r, f = found.columns.index("resolved"), found.columns.index("found")
-    wr, wf = found.columns.index("w_resolved"), found.columns.index("w_found")
-    schema = safe.schema
+    own, plan = docs.columns, kinds(window, words)
+    safe = docs.toDF(*[c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(own)])
+    found = repeated(spark, safe, window, words).select(*safe.columns, *LISTS)
+    schema, at = safe.schema, safe.columns.index("text")
 
     def step(batches):
         for batch in batches:
-            texts = []
-            for text, resolved, spans, w_resolved, w_spans in zip(batch.column(at), *(batch.column(k).to_pylist() for k in (r, f, wr, wf))):
-                if not (resolved or spans or w_resolved or w_spans):
-                    texts.append(text.as_py())
+            column, texts = batch.column(at), []
+            for k, (b, gone, passages) in enumerate(masks(batch, plan)):
+                if gone is None and passages is None:
+                    texts.append(column[k].as_py())
                     continue
-                b = raw(text)
-                gone = removed_mask(b, resolved, spans, window)
-                if w_resolved or w_spans:
-                    gone |= word_bytes(b, removed_mask(symbols(text, True), w_resolved, w_spans, words))
+                gone = np.zeros(len(b), bool) if gone is None else gone
+                if passages is not None:
+                    gone |= word_bytes(b, passages)
                 texts.append(b[~gone].tobytes().decode("utf-8", "ignore"))
-            cols = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns) if k not in (r, f, wr, wf)]
+            cols = [pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns[: len(own)])]
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    out = found.select(*[F.col(f"`{c}`") for c in found.columns]).mapInArrow(step, schema)
-    return out.toDF(*own)
+    return found.mapInArrow(lean(step), schema).toDF(*own)
 
 
 def op8_radix_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, 400-byte strings."""
+    """All documents, 400-byte strings; passages of over 50 words that repeat are reported beside them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digest(repeated(spark, docs))
+    return digest(repeated(spark, docs, WINDOW, PASSAGE_WORDS), WINDOW, PASSAGE_WORDS)

@@ -40,9 +40,11 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     )
     gone = found.join(first.where("rows > 1"), "component").where(F.struct("doc_id", "text_key") != F.col("first"))
     gone = scratch.put(gone.select("doc_id", "text_key"), "gone")
+    some_repeat = not found.where("n > 1").isEmpty()
+    scratch.keep(gone)
     key = docs.withColumn("text_key", F.xxhash64("text"))
     kept = key.join(bounded_broadcast(gone, 32), ["doc_id", "text_key"], "left_anti")
-    if not found.where("n > 1").isEmpty():
+    if some_repeat:
         once = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text_key"])
         kept = once.unionByName(kept.where("doc_id is null"))
     return kept.select(*docs.columns)

@@ -29,7 +29,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, tag: str):
         bounded_batches(spark)
         self.spark, self.root = spark, f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
-        self.n, self.paths = 0, {}
+        self.n, self.paths, self.tables = 0, {}, []
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
 
@@ -40,6 +40,7 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
+        self.tables.append(out)
         return out
 
     def deal(self, df: DataFrame, key: str, size: int, name: str) -> DataFrame:
@@ -48,12 +49,15 @@ class Scratch:
         Joins and groups by ``key`` then move the other side only. The catalog's entry goes at once; the files stay.
         """
         self.n += 1
+        path = f"{self.root}/{self.n:03d}-{name}"
         n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BUCKET_BYTES))
         table = f"scratch_{uuid.uuid4().hex}"
-        out = df.repartition(n, key).write.option("path", f"{self.root}/{self.n:03d}-{name}").option("compression", "zstd")
+        out = df.repartition(n, key).write.option("path", path).option("compression", "zstd")
         out.format("parquet").bucketBy(n, key).saveAsTable(table)
         found = self.spark.table(table)
         self.spark.sql(f"DROP TABLE {table}")
+        self.paths[id(found)] = path
+        self.tables.append(found)
         release(self.spark)
         return found
 
@@ -64,6 +68,16 @@ class Scratch:
             at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+    def keep(self, *kept: DataFrame) -> None:
+        """Remove all tables but ``kept``, which the plans to come read, and the shuffle files of those that went."""
+        stay = {id(df) for df in kept}
+        for df in self.tables:
+            if id(df) not in stay:
+                self.drop(df)
+        self.tables = [df for df in self.tables if id(df) in stay]
+        release(self.spark)
+
+
 #: Bytes of text in one bucket of a dealt table.
 BUCKET_BYTES = 16 << 20
 

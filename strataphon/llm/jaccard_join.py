@@ -392,7 +392,7 @@ class Join:
         made = self.docs.mapInArrow(
             survey(self.width, SKETCH_BITS), "doc_id long, text_key long, n long, fp long, chunk int, counts binary"
         )
-        made = self.scratch.put(made, "survey")
+        made = self.made = self.scratch.put(made, "survey")
         self.info = made.where("n is not null").select("doc_id", "text_key", "n", "fp")
         counts = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), np.int64)
         chunks = made.where("chunk is not null").select("chunk", "counts").repartition("chunk")
@@ -612,10 +612,14 @@ def jaccard_rows(spark: SparkSession, docs: DataFrame, width: int = 5, percent:
     join.link()
     if not links:
         named = join.info.join(join.named, "fp", "left")
-        return named.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component", "fp").alias("component"))
+        out = named.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("component", "fp").alias("component"))
+        out = join.scratch.put(out, "rows")
+        join.scratch.keep(out)
+        return out
     classes = join.counted()
     names = classes.groupBy("component").agg(F.min("rep").alias("name"))
     classes = join.scratch.put(classes.join(names, "component").select("fp", "component", "name", "n_links"), "named")
+    join.scratch.keep(join.made, classes)
     return join.info.join(classes, "fp", "left").select(
         "doc_id",
         "text_key",

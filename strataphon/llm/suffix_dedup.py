@@ -390,10 +390,10 @@ def range_digits(plan: tuple[Kind, ...]):
     return lean(step)
 
 
-def large_groups(scratch: Scratch, sent: DataFrame, plan: tuple[Kind, ...]) -> DataFrame:
+def large_groups(scratch: Scratch, sent: DataFrame, plan: tuple[Kind, ...], kept: list[DataFrame]) -> DataFrame:
     """Intervals of the contexts ``sent``: the steps of ``refine`` with keyed counts. No task gathers a first digit's rows.
 
-    A window is at most ``FAN ** passes`` places wide, so the number of passes is fixed.
+    A window is at most ``FAN ** passes`` places wide, so the number of passes is fixed. Tables but ``kept`` go meanwhile.
     """
     window = F.element_at(F.create_map(*[x for k in plan for x in (F.lit(k.words), F.lit(k.window))]), F.col("words"))
     sent = scratch.put(sent, "large")
@@ -406,10 +406,12 @@ def large_groups(scratch: Scratch, sent: DataFrame, plan: tuple[Kind, ...]) -> D
         made = made.join(hulls.select("hull", F.lit(True).alias("again")), "hull", "left")
         made = scratch.put(made.withColumn("again", F.coalesce("again", F.lit(False))), "hulls")
         hit = made.where("c = 1 and again")
-        found.append(hit.select("words", "uid", (F.col("pos") - F.col("d1")).alias("a"), (F.col("pos") - F.col("d0") + window).alias("b")))
+        hit = hit.select("words", "uid", (F.col("pos") - F.col("d1")).alias("a"), (F.col("pos") - F.col("d0") + window).alias("b"))
+        found.append(scratch.put(hit, "hits"))
         open_ = made.where("c = 1 and not again and d1 > d0").select("core").distinct()
         left = made.where("d1 > d0").join(open_, "core").groupBy("words", "uid", "pos")
         left = scratch.put(left.agg(F.collect_set(F.struct("d0", "d1")).alias("ranges")), "ranges-left")  # a window's places at most
+        scratch.keep(*kept, sent, left, *found)
         if left.isEmpty():
             break
         part = sent.join(left, ["words", "uid", "pos"]).select(*_CONTEXT.names, "ranges")
@@ -453,9 +455,10 @@ def repeated(spark: SparkSession, docs: DataFrame, window: int | None = WINDOW,
 
     small = sent(place.where(F.col("k") <= group)).repartition("seed").sortWithinPartitions("seed", "uid", "pos")
     found = scratch.put(small.mapInArrow(refine(plan), _COVER_SQL), "cover")
+    scratch.keep(texts, live, second, place, found)
     large = place.where(F.col("k") > group)
     if not large.isEmpty():
-        found = found.union(scratch.put(large_groups(scratch, sent(large), plan), "large-cover"))
+        found = found.union(large_groups(scratch, sent(large), plan, [texts, live, second, place, found]))
     done = live.join(second.where("c > 1").select("seed", "span"), ["seed", "span"])
     parts = done.select("words", "uid", F.col("pos").alias("a"), F.lit(None).cast("int").alias("b")).union(found)
     whole, piece = F.col("b").isNull(), F.struct("a", "b")
@@ -466,7 +469,7 @@ def repeated(spark: SparkSession, docs: DataFrame, window: int | None = WINDOW,
         F.collect_list(F.when(~whole & F.col("words"), piece)).alias("_w_found"),
     )
     lists = scratch.put(lists, "lists")
-    release(spark)
+    scratch.keep(texts, lists)
     return texts.join(lists.hint("shuffle_hash"), "_uid", "left")
 
 

@@ -324,9 +324,15 @@ def counted(key: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.bincount(inverse, weights=weight)[inverse] if len(key) else np.zeros(0)
 
 
-def hits(rows: Contexts, ranges: Ranges, kind: Kind) -> pa.RecordBatch:
-    row, d0, d1 = ranges
-    return cover(kind.words, rows.uid[row], rows.pos[row] - d1, rows.pos[row] - d0 + kind.window)
+def merged(uid: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals of texts with those that touch or overlap joined."""
+    order = np.lexsort((start, uid))
+    uid, start, end = uid[order], start[order], end[order]
+    text = np.cumsum(np.concatenate([[0], uid[1:] != uid[:-1]])) << 32  # keeps texts apart on one line
+    reach = np.maximum.accumulate(end + text)
+    first = np.flatnonzero(np.concatenate([[True], (start + text)[1:] > reach[:-1]]))
+    last = np.concatenate([first[1:], [len(uid)]]) - 1
+    return uid[first], start[first], reach[last] - text[last]
 
 
 def refine(plan: tuple[Kind, ...]):
@@ -334,7 +340,7 @@ def refine(plan: tuple[Kind, ...]):
 
     def work(batch, kind: Kind):
         rows = Contexts(batch, kind.words)
-        ranges = whole(rows, kind)
+        ranges, hits = whole(rows, kind), []
         while len(ranges.row):
             ranges = cut(ranges, rows, kind)
             core, hull, inside = digits(ranges, rows, kind)
@@ -344,15 +350,18 @@ def refine(plan: tuple[Kind, ...]):
             found = inside.copy()
             found[inside] = counted(hull[inside], weight[inside]) > 1
             single = weight == 1  # of the others all is known: they are partners only
-            if (found & single).any():
-                yield hits(rows, ranges.of(found & single), kind)
+            row, d0, d1 = ranges.of(found & single)
+            hits.append((rows.uid[row], (rows.pos[row] - d1).astype(np.int64), (rows.pos[row] - d0 + kind.window).astype(np.int64)))
             open_ = single & ~found & (ranges.d1 > ranges.d0)
             ranges = ranges.of((counted(core, open_) > 0) & (ranges.d1 > ranges.d0))
+        found = [np.concatenate(x) for x in zip(*hits)] if hits else [[]]
+        return cover(kind.words, *merged(*found)) if len(found[0]) else None
 
     def step(batches):
         for part in slices(batches, "seed"):
             for kind in plan:
-                yield from work(part, kind)
+                if (made := work(part, kind)) is not None:
+                    yield made
 
     return lean(step)
 

@@ -50,7 +50,7 @@ class Scratch:
         """
         self.n += 1
         path = f"{self.root}/{self.n:03d}-{name}"
-        n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BUCKET_BYTES))
+        n = self.buckets(size)
         table = f"scratch_{uuid.uuid4().hex}"
         out = df.repartition(n, key).write.option("path", path).option("compression", "zstd")
         out.format("parquet").bucketBy(n, key).saveAsTable(table)
@@ -61,6 +61,10 @@ class Scratch:
         release(self.spark)
         return found
 
+    def buckets(self, size: int) -> int:
+        """Buckets in which ``deal`` puts ``size`` bytes."""
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BUCKET_BYTES))
+
     def drop(self, df: DataFrame) -> None:
         """Remove a table that no later plan reads."""
         if path := self.paths.pop(id(df), None):

@@ -8,23 +8,25 @@ turn out to be alone leave the sort after the pass that shows it. Symbols are a
    windows pick the same place, so two equal windows always meet. The first digit is that string.
 2. The second digit is all that windows around the pick can cover, ``window - seed`` symbols before it to
    ``window`` after, clipped to the text. If it occurs again, every window around the pick is repeated. A suffix
-   whose first digit occurs once, or only with repeated second digits, leaves.
+   whose first digit occurs once, or only with repeated second digits, leaves. Picks are shuffled once, by first digit,
+   and sorted: both digits' repeats are told from the rows before and after, at any size by the same plan.
 3. What is left lies near the edges of repeats. Of each first digit, the distinct second digits send their
    symbols to one place and are refined to the full depth by ranges of a window's place around the pick. What all
    windows of a range have in common is its core, what they cover together its hull. A core that occurs once ends
    a range: none of its windows is repeated. A hull that occurs again ends it, too: all are. Other ranges are cut
    in ``FAN`` parts each, down to single windows.
 4. First digits with more than ``GROUP`` distinct second digits would make such a place large. Theirs take the same
-   steps as passes over all texts, in which cores and hulls are counted by key and no task gathers a first digit.
+   steps as passes over all texts: ranges are shuffled by core and sorted, and no task holds a first digit's rows.
 
 Positions that a repeated window covers are removed. Texts are dealt once, bucketed by row; lists of places come
-to them. Counts are sums that are made in part before each shuffle; the largest thing a task holds is one text, or one
-group of bounded size. Hashes have 64 bits.
+to them. A very frequent digit or core passes one task as a sorted stream; the largest thing a task holds is one text, or
+one group of bounded size. Hashes have 64 bits.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from typing import NamedTuple
 
 import numpy as np
@@ -178,6 +180,61 @@ def survey(plan: tuple[Kind, ...]):
     return lean(step)
 
 
+def ordered(batches, key: str, most: int = 1 << 16):
+    """Batches sorted by ``key`` -> (row before, rows, row after). Rows of equal key come together, up to ``most`` of them."""
+    before = rest = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None and batch.num_rows:
+            rest = batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        if rest is None:
+            continue
+        n = cut = rest.num_rows
+        if batch is not None:
+            keys = rest.column(key).to_numpy()
+            start = int(np.searchsorted(keys, keys[-1]))
+            cut = start if n - start < most else n - 1
+        if cut:
+            yield before, rest.slice(0, cut), rest.slice(cut, 1)
+            before, rest = rest.slice(cut - 1, 1), rest.slice(cut) if cut < n else None
+
+
+def equal(before, rows, after, column: str) -> np.ndarray:
+    """Of each row and the one after the last: is its value that of the row before it? Nulls equal nothing."""
+    parts = [x.column(column) for x in (before, rows, after) if x is not None and x.num_rows]
+    x = pa.chunked_array(parts)
+    valid, x = x.is_valid().to_numpy(), x.fill_null(0).to_numpy()
+    same = (x[1:] == x[:-1]) & valid[1:] & valid[:-1]
+    ends = [np.zeros(int(before is None), bool), same, np.zeros(int(not after.num_rows), bool)]
+    return np.concatenate(ends)
+
+
+_MET_SQL = "words boolean, uid long, pos int, c long, seed long"
+
+
+def meet(batches):
+    """Picks sorted by first and second digit -> those whose first digit occurs again; ``c`` is 1 if the second digit
+    does not, else 2. ``seed`` is given in one row for each second digit of a first digit that has several.
+
+    A row is decided by those before and after it, so a digit that is very frequent takes no more memory than others.
+    """
+    first = False  # was the second digit of the row before the first one of its first digit
+    for before, rows, after in ordered(batches, "seed", 1):
+        seed = equal(before, rows, after, "seed")
+        span = seed & equal(before, rows, after, "span")
+        start = np.maximum.accumulate(np.where(span[:-1], -1, np.arange(rows.num_rows)))
+        firsts = np.where(start < 0, first, ~seed[start])
+        first = firsts[-1]
+        again = (rows.column("m").to_numpy() > 1) | span[:-1] | span[1:]
+        one = np.where(firsts, seed[1:] & ~span[1:], ~span[:-1])
+        at = np.flatnonzero(again | seed[:-1] | seed[1:])
+        out = rows.take(pa.array(at))
+        seeds = pa.array(out.column("seed").to_numpy(), pa.int64(), mask=~one[at])
+        yield pa.RecordBatch.from_arrays(
+            [*(out.column(x) for x in ("words", "uid", "pos")), pa.array(np.where(again[at], 2, 1), pa.int64()), seeds],
+            ["words", "uid", "pos", "c", "seed"],
+        )
+
+
 _CONTEXT = pa.schema(
     [("words", pa.bool_()), ("seed", pa.int64()), ("uid", pa.int64()), ("pos", pa.int32()), ("c", pa.int64()), ("left", pa.int32()), ("bytes", pa.binary())]
 )
@@ -391,7 +448,7 @@ def range_digits(plan: tuple[Kind, ...]):
                     [
                         pa.array(np.full(len(row), kind.words)), pa.array(rows.uid[row]), pa.array(rows.pos[row], pa.int32()),
                         pa.array(rows.c[row]), pa.array(ranges.d0, pa.int32()), pa.array(ranges.d1, pa.int32()),
-                        longs(core), pa.array(hull.view(np.int64), mask=~inside),
+                        longs(core), pa.array(hull.view(np.int64), mask=~inside | (ranges.d0 == ranges.d1)),
                     ],
                     ["words", "uid", "pos", "c", "d0", "d1", "core", "hull"],
                 )
@@ -399,8 +456,40 @@ def range_digits(plan: tuple[Kind, ...]):
     return lean(step)
 
 
+_SETTLED_SQL = "words boolean, uid long, pos int, c long, d0 int, d1 int, hit boolean, open boolean"
+
+
+def settle(batches):
+    """Digits of ranges sorted by core and hull -> ranges that are found (``hit``) and those to be cut further (``open``):
+    all of a core that holds one undecided range; ``c`` is 1 for the undecided ones, 2 for their partners.
+
+    Equal hulls have equal cores, so both are told from the rows before and after. Of cores of more rows than come
+    at once, what is found stays as a partner, needed or not.
+    """
+    for before, rows, after in ordered(batches, "core"):
+        core, hull = (equal(before, rows, after, x) for x in ("core", "hull"))
+        n = rows.num_rows
+        c, d0, d1 = (rows.column(x).to_numpy() for x in ("c", "d0", "d1"))
+        shared = core[:-1] | core[1:]
+        again = np.where(d0 == d1, shared, core[:-1] & hull[:-1] | core[1:] & hull[1:])  # a window is its own core
+        hit, undecided = (c == 1) & again, (c == 1) & ~again & shared & (d1 > d0)
+        run = np.cumsum(~core[:-1]) - (not core[0])
+        wanted = np.bincount(run, weights=undecided, minlength=run[-1] + 1) > 0
+        wanted[0] |= core[0]
+        wanted[-1] |= core[n]
+        open_ = shared & (d1 > d0) & wanted[run]
+        at = np.flatnonzero(hit | open_)
+        out = rows.take(pa.array(at))
+        yield pa.RecordBatch.from_arrays(
+            [*(out.column(x) for x in ("words", "uid", "pos")), pa.array(np.where(undecided[at], 1, 2), pa.int64()),
+             out.column("d0"), out.column("d1"), pa.array(hit[at]), pa.array(open_[at])],
+            ["words", "uid", "pos", "c", "d0", "d1", "hit", "open"],
+        )
+
+
 def large_groups(scratch: Scratch, sent: DataFrame, plan: tuple[Kind, ...], kept: list[DataFrame]) -> DataFrame:
-    """Intervals of the contexts ``sent``: the steps of ``refine`` with keyed counts. No task gathers a first digit's rows.
+    """Intervals of the contexts ``sent``: the steps of ``refine`` as passes, each of which shuffles its ranges once, by
+    core. No task holds a first digit's rows.
 
     A window is at most ``FAN ** passes`` places wide, so the number of passes is fixed. Tables but ``kept`` go meanwhile.
     """
@@ -408,22 +497,19 @@ def large_groups(scratch: Scratch, sent: DataFrame, plan: tuple[Kind, ...], kept
     sent = scratch.put(sent, "large")
     part, found = sent, []
     while True:
-        made = scratch.put(part.mapInArrow(range_digits(plan), _RANGE_SQL), "ranges")
-        cores = made.groupBy("core").agg(F.sum("c").alias("n")).where("n > 1").select("core")
-        made = scratch.put(made.join(cores, "core"), "cores")
-        hulls = made.where("hull is not null").groupBy("hull").agg(F.sum("c").alias("n")).where("n > 1")
-        made = made.join(hulls.select("hull", F.lit(True).alias("again")), "hull", "left")
-        made = scratch.put(made.withColumn("again", F.coalesce("again", F.lit(False))), "hulls")
-        hit = made.where("c = 1 and again")
+        made = part.mapInArrow(range_digits(plan), _RANGE_SQL).repartition("core").sortWithinPartitions("core", "hull")
+        made = scratch.put(made.mapInArrow(lean(settle), _SETTLED_SQL), "ranges")
+        hit = made.where("hit")
         hit = hit.select("words", "uid", (F.col("pos") - F.col("d1")).alias("a"), (F.col("pos") - F.col("d0") + window).alias("b"))
         found.append(scratch.put(hit, "hits"))
-        open_ = made.where("c = 1 and not again and d1 > d0").select("core").distinct()
-        left = made.where("d1 > d0").join(open_, "core").groupBy("words", "uid", "pos")
-        left = scratch.put(left.agg(F.collect_set(F.struct("d0", "d1")).alias("ranges")), "ranges-left")  # a window's places at most
-        scratch.keep(*kept, sent, left, *found)
+        scratch.keep(*kept, sent, made, *found)
+        left = made.where("open")
         if left.isEmpty():
             break
-        part = sent.join(left, ["words", "uid", "pos"]).select(*_CONTEXT.names, "ranges")
+        # what is known of a context apart from what isn't, dealt as the join needs it; a window's places at most
+        left = left.repartition("words", "uid", "pos").groupBy("words", "uid", "pos", "c")
+        left = left.agg(F.collect_set(F.struct("d0", "d1")).alias("ranges"))
+        part = sent.drop("c").join(left, ["words", "uid", "pos"]).select(*_CONTEXT.names, "ranges")
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -438,47 +524,43 @@ def repeated(spark: SparkSession, docs: DataFrame, window: int | None = WINDOW,
     # the partition keeps one document that is repeated very often from meeting in one bucket
     texts = docs.withColumn("_uid", F.xxhash64(F.spark_partition_id(), "doc_id", "text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = scratch.buckets(size)
     texts = scratch.deal(texts, "_uid", size, "texts")
-    rows = scratch.put(texts.select("_uid", "text").mapInArrow(survey(plan), _PICK_SQL), "picks")
-    twice = scratch.put(rows.groupBy("seed").agg(F.sum("m").alias("n")).where("n > 1").select("seed"), "first-digits")
-    live = scratch.put(rows.join(twice, "seed"), "live")  # most first digits occur once
-    scratch.drop(rows)
+    rows = texts.select("_uid", "text").mapInArrow(survey(plan), _PICK_SQL)
+    # in as many parts as there are buckets: what a task sorts doesn't grow with the input
+    rows = rows.repartition(buckets, "seed").sortWithinPartitions("seed", "span")
+    met = scratch.put(rows.mapInArrow(lean(meet), _MET_SQL), "met")
     release(spark)
-    second = live.groupBy("seed", "span").agg(
-        F.first("words").alias("words"), F.sum("m").alias("c"), F.min(F.struct("uid", "pos")).alias("at")
-    )
-    second = scratch.put(second, "second")
+    second = met.where("seed is not null")
     first = second.groupBy("seed").agg(F.min("c").alias("least"), F.count(F.lit(1)).alias("k"))
-    first = scratch.put(first.where("least = 1 and k > 1").select("seed", "k"), "open")
+    first = scratch.put(first.where("least = 1").select("seed", "k"), "open")
     place = second.join(first, "seed").select(
-        F.col("at.uid").alias("_uid"), F.struct("words", F.col("at.pos").alias("pos"), "seed", "c").alias("p"), "k"
+        F.col("uid").alias("_uid"), F.struct("words", "pos", "seed", "c").alias("p"), "k"
     )
     place = scratch.put(place, "places")
     release(spark)
 
     def sent(part: DataFrame) -> DataFrame:
-        lists = part.groupBy("_uid").agg(F.collect_list("p").alias("places")).hint("shuffle_hash")
+        lists = part.repartition(buckets, "_uid").groupBy("_uid").agg(F.collect_list("p").alias("places")).hint("shuffle_hash")
         # rows that repeat a document within a partition share its uid; whatever they send twice counts once below
         found = texts.select("_uid", "text").join(lists, "_uid").select("_uid", "text", "places")
         return found.mapInArrow(contexts(plan), _CONTEXT_SQL)
 
     small = sent(place.where(F.col("k") <= group)).repartition("seed").sortWithinPartitions("seed", "uid", "pos")
     found = scratch.put(small.mapInArrow(refine(plan), _COVER_SQL), "cover")
-    scratch.keep(texts, live, second, place, found)
+    scratch.keep(texts, met, place, found)
     large = place.where(F.col("k") > group)
     if not large.isEmpty():
-        found = found.union(large_groups(scratch, sent(large), plan, [texts, live, second, place, found]))
-    done = live.join(second.where("c > 1").select("seed", "span"), ["seed", "span"])
-    parts = done.select("words", "uid", F.col("pos").alias("a"), F.lit(None).cast("int").alias("b")).union(found)
+        found = found.union(large_groups(scratch, sent(large), plan, [texts, met, place, found]))
+    done = met.where("c > 1").select("words", "uid", F.col("pos").alias("a"), F.lit(None).cast("int").alias("b"))
+    parts = done.union(found).withColumnRenamed("uid", "_uid").repartition(buckets, "_uid")  # to the buckets of the texts
     whole, piece = F.col("b").isNull(), F.struct("a", "b")
-    lists = parts.groupBy(F.col("uid").alias("_uid")).agg(
+    lists = parts.groupBy("_uid").agg(
         F.collect_list(F.when(whole & ~F.col("words"), F.col("a"))).alias("_resolved"),
         F.collect_list(F.when(~whole & ~F.col("words"), piece)).alias("_found"),
         F.collect_list(F.when(whole & F.col("words"), F.col("a"))).alias("_w_resolved"),
         F.collect_list(F.when(~whole & F.col("words"), piece)).alias("_w_found"),
     )
-    lists = scratch.put(lists, "lists")
-    scratch.keep(texts, lists)
     return texts.join(lists.hint("shuffle_hash"), "_uid", "left")
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strataphon.llm import jaccard_join, packing, suffix_dedup, toxicity
@@ -165,6 +166,64 @@ def test_suffix_dedup(spark, group):
     assert [got[i] for i in range(len(texts))] == brute_removed(texts, 40)
 
 
+def shuffled(spark, work):
+    """Records that the stages of ``work`` write to shuffles."""
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    stages = lambda: store.stageList(None, False, False, jvm.new_array(jvm.jvm.double, 0), None)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    seen = {stages().apply(i).stageId() for i in range(stages().size())}
+    work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = [stages().apply(i) for i in range(stages().size())]
+    return sum(s.shuffleWriteRecords() for s in found if s.stageId() not in seen)
+
+
+def test_suffix_shuffles_each_pick_once_at_any_size(spark):
+    rng = random.Random(8)
+    fresh = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = [fresh(300) for _ in range(40)]
+    df = frame(spark, [fresh(200) + s + fresh(200) + s for s in shared for _ in range(3)] + [fresh(2000) for _ in range(200)])
+    plan = suffix_dedup.kinds(40, None)
+    picks = df.select("doc_id", "text").mapInArrow(suffix_dedup.survey(plan), suffix_dedup._PICK_SQL).count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large for it
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        n = shuffled(spark, lambda: suffix_dedup.digest(suffix_dedup.repeated(spark, df, 40), 40).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert picks > 40_000 and n < 2 * picks
+
+
+@pytest.mark.parametrize("most", [1, 5, 1 << 16])
+def test_sorted_neighbours_decide(monkeypatch, most):
+    rng, batch = np.random.default_rng(most), lambda **c: pa.RecordBatch.from_pydict(c)
+    monkeypatch.setattr(suffix_dedup.ordered, "__defaults__", (most,))
+    for _ in range(100):
+        n = int(rng.integers(1, 60))
+        own = {"words": np.zeros(n, bool), "uid": np.arange(n), "pos": np.arange(n, dtype=np.int32)}
+        x, y, m = rng.integers(0, max(2, n // 4), n), rng.integers(0, 3, n), rng.choice([1, 1, 2], n)
+        x, y = (c[np.lexsort((y, x))] for c in (x, y))
+        edges = [0, *np.sort(rng.integers(0, n + 1, 4)), n]
+        cut = lambda b: [b.slice(i, j - i) for i, j in zip(edges, edges[1:])]  # noqa: B023, E731
+        met = pa.Table.from_batches(suffix_dedup.meet(cut(batch(seed=x, span=y, m=m, **own)))).to_pylist()
+        live = {i: min(2, m[(x == x[i]) & (y == y[i])].sum()) for i in range(n) if m[x == x[i]].sum() > 1}
+        assert {r["uid"]: r["c"] for r in met} == live
+        several = {(a, b) for a, b in zip(x, y) if len(set(y[x == a])) > 1}
+        assert Counter((r["seed"], y[r["uid"]]) for r in met if r["seed"] is not None) == Counter(several)
+        hull, d1 = pa.array(y, mask=y == 0), (x % 2).astype(np.int32)
+        made = batch(core=x, hull=hull, c=m, d0=np.zeros(n, np.int32), d1=d1, **own)
+        got = pa.Table.from_batches(suffix_dedup.settle(cut(made))).to_pylist()
+        again = [((x == x[i]) & ((y == y[i]) & (y > 0) | (d1[i] == 0))).sum() > 1 and (y[i] > 0 or d1[i] == 0) for i in range(n)]
+        undecided = np.array([m[i] == 1 and not again[i] and (x == x[i]).sum() > 1 and d1[i] > 0 for i in range(n)])
+        wanted = {i: 1 if undecided[i] else 2 for i in range(n) if undecided[x == x[i]].any()}
+        assert {r["uid"] for r in got if r["hit"]} == {i for i in range(n) if m[i] == 1 and again[i]}
+        opened = {r["uid"]: r["c"] for r in got if r["open"]}
+        assert wanted.items() <= opened.items() and (most < n or wanted == opened)
+        assert all(c == 2 for i, c in opened.items() if i not in wanted)
+
+
 def test_suffix_blocks(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 997)
     b = np.frombuffer(np.random.default_rng(0).integers(97, 101, 5000, dtype=np.uint8).tobytes(), np.uint8)
